@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -116,3 +117,10 @@ def parse_number(text: Column) -> Column:
             F.when(strip(text).startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
         )
     )
+
+
+def sql_double(number: float) -> str:
+    """A double literal for SQL text. Long `CASE` chains are far quicker to build as text."""
+    if math.isinf(number) or math.isnan(number):
+        return f"double('{number}')"
+    return f"{number!r}D"

@@ -22,10 +22,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tabloom.functions.columns import value
-from tabloom.functions.wide import aggregate_row, chunks
+from tabloom.functions.columns import sql_double, value
+from tabloom.functions.wide import aggregate_row, chunks, small_table
 
 MAX_INSIDE = 1_000_000
 SAMPLE_ROWS = 200_000
@@ -53,13 +53,14 @@ class _Search:
     def inside(self) -> int:
         return self.upto - self.below
 
-    def contains(self, col: Column) -> Column:
-        test = col.isNotNull()
+    def contains(self) -> str:
+        """SQL test for a value inside the interval."""
+        tests = [f"{self.column} IS NOT NULL"]
         if self.lo is not None:
-            test = test & (col > F.lit(self.lo))
+            tests.append(f"{self.column} > {sql_double(self.lo)}")
         if self.hi is not None:
-            test = test & (col < F.lit(self.hi))
-        return test
+            tests.append(f"{self.column} < {sql_double(self.hi)}")
+        return " AND ".join(tests)
 
     def shrink(self, cut: float, less: int, upto: int) -> None:
         """Use exact counts of rows < cut and <= cut."""
@@ -148,8 +149,7 @@ def _narrow(
         proposals = {}
         for i, (members, share) in enumerate(zip(group_chunk, shares)):
             s = members[0]
-            keep = s.contains(F.col(s.column)) & (F.col("u") < F.lit(share))
-            inside = F.when(keep, F.col(s.column))
+            inside = F.expr(f"CASE WHEN {s.contains()} AND u < {sql_double(share)} THEN {s.column} END")
             proposals[i] = F.percentile_approx(inside, _around(members, sample_rows), SKETCH_ACCURACY)
         row = aggregate_row(sample, proposals)
         for i, members in enumerate(group_chunk):
@@ -160,7 +160,7 @@ def _narrow(
         # An empty sample is next to impossible; the smallest value inside still makes progress.
         smallest = aggregate_row(
             numbers,
-            {i: F.min(F.when(m[0].contains(F.col(m[0].column)), F.col(m[0].column))) for i, m in enumerate(missed)},
+            {i: F.expr(f"min(CASE WHEN {m[0].contains()} THEN {m[0].column} END)") for i, m in enumerate(missed)},
         )
         cuts |= {(m[0].column, smallest[i]) for i, m in enumerate(missed)}
 
@@ -179,17 +179,18 @@ def _narrow(
 
 def _count_cells(numbers: DataFrame, cuts: dict[str, list[float]]) -> dict[tuple[str, int], int]:
     """Rows per cell: cell 2i lies between cuts i-1 and i, cell 2i+1 is cut i itself."""
-    entries = []
-    for column, points in cuts.items():
-        v = F.col(column)
-        chain = F.when(v.isNull(), F.lit(None).cast("int"))
-        for i, cut in enumerate(points):
-            chain = chain.when(v < F.lit(cut), F.lit(2 * i)).when(v == F.lit(cut), F.lit(2 * i + 1))
-        cell = chain.otherwise(F.lit(2 * len(points)))
-        entries.append(F.struct(F.lit(column).alias("column"), cell.alias("cell")))
+    cells = []
+    for v, points in cuts.items():
+        steps = " ".join(
+            f"WHEN {v} < {sql_double(cut)} THEN {2 * i} WHEN {v} = {sql_double(cut)} THEN {2 * i + 1}"
+            for i, cut in enumerate(points)
+        )
+        cells.append(f"CASE WHEN {v} IS NULL THEN NULL {steps} ELSE {2 * len(points)} END AS {v}")
+    entries = ", ".join(f"'{c}', {c}" for c in cuts)
     rows = (
-        numbers.select(F.inline(F.array(*entries)))
-        .where(F.col("cell").isNotNull())
+        numbers.selectExpr(*cells)
+        .selectExpr(f"stack({len(cuts)}, {entries}) AS (column, cell)")
+        .where("cell IS NOT NULL")
         .groupBy("column", "cell")
         .count()
         .collect()
@@ -219,21 +220,20 @@ def _pick(numbers: DataFrame, searches: list[_Search]) -> None:
     spark = numbers.sparkSession
 
     # The intervals of a column do not overlap, so a value is in one of them at most.
-    choice: dict[str, Column] = {}
+    choice: dict[str, str] = {}
     for i, m in enumerate(groups):
-        test = m[0].contains(F.col(m[0].column))
-        so_far = choice.get(m[0].column)
-        choice[m[0].column] = F.when(test, F.lit(i)) if so_far is None else so_far.when(test, F.lit(i))
-    entries = [F.struct(i.alias("interval"), F.col(c).alias("v")) for c, i in choice.items()]
-    inside = numbers.select(F.inline(F.array(*entries))).where(F.col("interval").isNotNull())
+        step = f"WHEN {m[0].contains()} THEN {i}"
+        choice[m[0].column] = f"{choice.get(m[0].column, 'CASE')} {step}"
+    chosen = numbers.selectExpr(*choice, *[f"{steps} END AS i_{c}" for c, steps in choice.items()])
+    entries = ", ".join(f"i_{c}, {c}" for c in choice)
+    inside = chosen.selectExpr(f"stack({len(choice)}, {entries}) AS (interval, v)").where("interval IS NOT NULL")
     running = W.partitionBy("interval").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     counted = (
         inside.groupBy("interval", "v")
         .agg(F.count(F.lit(1)).alias("c"))
         .withColumn("upto", F.sum("c").over(running))
     )
-    ranks = spark.createDataFrame(
-        [(i, s.rank - s.below) for i, m in enumerate(groups) for s in m], "interval int, rank bigint"
+    ranks = small_table(spark, [(i, s.rank - s.below) for i, m in enumerate(groups) for s in m], "interval int, rank bigint"
     )
     # `ranks` has at most two rows per column and fraction, so it is always small.
     rows = (

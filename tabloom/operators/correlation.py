@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions.columns import value
-from tabloom.functions.wide import aggregate_row, column_report
+from tabloom.functions.wide import aggregate_row, column_report, small_table
 
 _SUMS = ("n", "sum_left", "sum_right", "square_left", "square_right", "cross")
 _SCHEMA = "i int, j int, " + ", ".join(f"{s} double" for s in _SUMS)
@@ -27,8 +27,7 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     columns = list(columns)
     index = [(i, c) for i, c in enumerate(columns)]
-    names = spark.createDataFrame(
-        [(i, j, a, b) for i, a in index for j, b in index if i < j], "i int, j int, left string, right string"
+    names = small_table(spark, [(i, j, a, b) for i, a in index for j, b in index if i < j], "i int, j int, left string, right string"
     )
     moments = aggregate_row(
         df,
@@ -47,7 +46,7 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             for i in filled
         ]
     )
-    empty = spark.createDataFrame([], _SCHEMA)
+    empty = small_table(spark, [], _SCHEMA)
     sums = numbers.mapInArrow(_pair_sums(filled), _SCHEMA) if len(filled) > 1 else empty
     totals = sums.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in _SUMS])
 
@@ -123,10 +122,12 @@ def target_correlation(df: DataFrame, columns: Sequence[str], *, target: str = "
         x = value(df, c).cast("double")
         # Both sides are blanked where either is missing, so all three use the same rows.
         left, right = F.when(label.isNotNull(), x), F.when(x.isNotNull(), label)
-        scale = F.nullif(F.stddev_samp(left) * F.stddev_samp(right), F.lit(0.0))
-        expressions.append(F.abs(F.covar_samp(x, label) / scale))
+        # A constant is told by its range: its standard deviation may be rounding noise.
+        varies = (F.min(left) < F.max(left)) & (F.min(right) < F.max(right))
+        scale = F.stddev_samp(left) * F.stddev_samp(right)
+        expressions.append(F.when(varies, F.abs(F.try_divide(F.covar_samp(x, label), scale))))
     if not columns:
-        return df.sparkSession.createDataFrame([], "column string, correlation double")
+        return small_table(df.sparkSession, [], "column string, correlation double")
     by_name = dict(zip(columns, expressions))
     return (
         column_report(df, columns, lambda c: {"correlation": by_name[c]}, "correlation double")

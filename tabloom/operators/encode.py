@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import present, quoted, strip
-from tabloom.functions.wide import melt
+from tabloom.functions.wide import melt, small_table
 
 MAX_CATEGORIES = 50
 # A larger map goes in as a joined table and not as a literal of the plan.
@@ -28,8 +28,7 @@ def ordinal_encode(df: DataFrame, column: str, mapping: Mapping[str, int], *, un
     if len(mapping) <= MAX_LITERAL_ENTRIES:
         found = _lookup(key, mapping, "float")
         return df.withColumn(column, F.when(key.isNotNull(), F.coalesce(found, F.lit(float(unseen)))).cast("float"))
-    table = df.sparkSession.createDataFrame(
-        [(k, float(v)) for k, v in mapping.items()], "_key string, _code double"
+    table = small_table(df.sparkSession, [(k, float(v)) for k, v in mapping.items()], "_key string, _code double"
     )
     joined = df.withColumn("_key", key).join(table, "_key", "left")
     code = F.when(F.col("_key").isNotNull(), F.coalesce("_code", F.lit(float(unseen)))).cast("float")
@@ -46,7 +45,7 @@ def unseen_counts(df: DataFrame, rules: Mapping) -> DataFrame:
         if c in df.columns:
             tests[c] = ~quoted(c).isin([v for values in groups.values() for v in values])
     if not tests:
-        return df.sparkSession.createDataFrame([], "column string, unseen bigint")
+        return small_table(df.sparkSession, [], "column string, unseen bigint")
     counts = df.agg(*[F.count_if(test).alias(c) for c, test in tests.items()])
     rows = [F.struct(F.lit(c).alias("column"), quoted(c).alias("unseen")) for c in tests]
     return counts.select(F.inline(F.array(*rows))).orderBy("column")

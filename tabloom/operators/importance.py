@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import quoted, value
 from tabloom.functions.lineage import materialize
-from tabloom.functions.wide import aggregate_row
+from tabloom.functions.wide import aggregate_row, small_table
 from tabloom.operators.clean import fit_fill_values
 from tabloom.operators.target import add_class_weight, class_weights
 
@@ -80,8 +80,7 @@ def tree_importance(
     scores = dict.fromkeys(columns, 0.0)
     for name, score in zip(inputs.names, model.featureImportances.toArray()):
         scores[name if name in scores else name.removesuffix(MISSING)] += float(score)
-    return train.sparkSession.createDataFrame(
-        list(scores.items()), "column string, importance double"
+    return small_table(train.sparkSession, list(scores.items()), "column string, importance double"
     ).orderBy(F.desc("importance"), "column")
 
 

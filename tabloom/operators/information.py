@@ -8,9 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.functions.columns import is_numeric, quoted, round_even, value
+from tabloom.functions.columns import is_numeric, quoted, round_even, sql_double, value
 from tabloom.functions.quantiles import exact_quantiles
-from tabloom.functions.wide import chunks
+from tabloom.functions.wide import chunks, melt, small_table
 from tabloom.operators.profile import group_rare_values, value_table
 
 COLUMNS_PER_SCAN = 100
@@ -32,14 +32,13 @@ def fit_quantile_edges(df: DataFrame, columns: Sequence[str], bins: int = 10) ->
     return {c: sorted({e for e in found[c] if e is not None}) for c in columns}
 
 
-def bin_number(col: Column, edges: Sequence[float]) -> Column:
-    """1-based right-closed bin between ascending edges; the lowest edge is in bin 1."""
+def bin_number(column: str, edges: Sequence[float]) -> Column:
+    """1-based right-closed bin of a double column between ascending edges; the lowest edge is in bin 1."""
     if len(edges) < 2:
         return F.lit(None).cast("tinyint")
-    chain = F.when(col < F.lit(edges[0]), F.lit(None))
-    for i, high in enumerate(edges[1:], 1):
-        chain = chain.when(col <= F.lit(high), F.lit(i))
-    return chain.cast("tinyint")
+    name = "`" + column.replace("`", "``") + "`"
+    steps = " ".join(f"WHEN {name} <= {sql_double(high)} THEN {i}Y" for i, high in enumerate(edges[1:], 1))
+    return F.expr(f"CASE WHEN {name} < {sql_double(edges[0])} THEN NULL {steps} END")
 
 
 def _numeric_counts(df: DataFrame, columns: Sequence[str], target: str, edges: dict[str, list[float]]) -> DataFrame:
@@ -47,12 +46,13 @@ def _numeric_counts(df: DataFrame, columns: Sequence[str], target: str, edges: d
     y = quoted(target).cast("double")
     parts = []
     for group in chunks(columns, COLUMNS_PER_SCAN):
-        binned = df.where(y.isNotNull()).select(
-            y.alias("y"), *[bin_number(value(df, c).cast("double"), edges[c]).alias(f"b{i}") for i, c in enumerate(group)]
+        numbers = df.where(y.isNotNull()).select(
+            y.alias("y"), *[value(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(group)]
         )
-        entries = [F.struct(F.lit(c).alias("column"), F.col(f"b{i}").alias("bin")) for i, c in enumerate(group)]
+        binned = numbers.select("y", *[bin_number(f"v{i}", edges[c]).alias(c) for i, c in enumerate(group)])
         parts.append(
-            binned.select("y", F.inline(F.array(*entries)))
+            melt(binned, group, "tinyint", [F.col("y")])
+            .withColumnRenamed("value", "bin")
             .where(F.col("bin").isNotNull())
             .groupBy("column", "bin")
             .agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("bad"))
@@ -60,7 +60,7 @@ def _numeric_counts(df: DataFrame, columns: Sequence[str], target: str, edges: d
     bounds = [
         (c, i, edges[c][i - 1], edges[c][i]) for c in columns for i in range(1, len(edges[c]))
     ]
-    table = df.sparkSession.createDataFrame(bounds, "column string, bin tinyint, low double, high double")
+    table = small_table(df.sparkSession, bounds, "column string, bin tinyint, low double, high double")
     return (
         reduce(DataFrame.unionAll, parts)
         .join(F.broadcast(table), ["column", "bin"])
@@ -120,7 +120,7 @@ def woe_table(
         parts.append(_numeric_counts(df, numeric, target, edges))
     if other:
         parts.append(_categorical_counts(df, other, target, max_categories))
-    counts = reduce(DataFrame.unionAll, parts) if parts else df.sparkSession.createDataFrame([], _COUNTS)
+    counts = reduce(DataFrame.unionAll, parts) if parts else small_table(df.sparkSession, [], _COUNTS)
     share_bad = (F.col("bad") + SMOOTHING) / F.nullif(F.lit(total_bad), F.lit(0.0))
     share_good = (F.col("good") + SMOOTHING) / F.nullif(F.lit(total_good), F.lit(0.0))
     woe = F.ln(share_good / share_bad)
@@ -146,7 +146,7 @@ def information_value(
     """
     columns = [c for c in (columns or df.columns) if c != target]
     kinds = [(c, "numeric" if is_numeric(df, c) else "categorical") for c in columns]
-    listed = df.sparkSession.createDataFrame(kinds, "column string, kind string")
+    listed = small_table(df.sparkSession, kinds, "column string, kind string")
     sums = woe_table(df, columns, target=target, **options).groupBy("column").agg(F.sum("iv").alias("raw"))
     raw = F.coalesce("raw", F.lit(0.0))
     return (

@@ -21,7 +21,7 @@ from tabloom.functions.columns import (
     value,
 )
 from tabloom.functions.quantiles import exact_quantiles
-from tabloom.functions.wide import column_report, melt
+from tabloom.functions.wide import column_report, melt, small_table
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -48,11 +48,11 @@ def missing_profile(df: DataFrame, *, drop_above: float = 0.60, flag_above: floa
     The strategy looks at the share after rounding to two decimals, so a handful of
     missing cells in a huge table is listed as COMPLETE.
     """
-    types = [
-        F.struct(F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"))
-        for c in df.columns
-    ]
-    catalog = df.sparkSession.range(1).select(F.inline(F.array(*types)))
+    catalog = small_table(
+        df.sparkSession,
+        [(f.name, f.dataType.simpleString()) for f in df.schema.fields],
+        "column string, type string",
+    )
     share = F.col("missing_pct")
     strategy = (
         F.when(share > drop_above * 100, "DROP")
@@ -99,38 +99,33 @@ def numeric_profile(df: DataFrame, *, target: str = "target", columns: Sequence[
 
     def metrics(c: str) -> dict[str, Column]:
         col = value(df, c).cast("double")
-        q1, median, q3 = quartiles[c]
+        q1, _, q3 = quartiles[c]
         spread = 1.5 * (q3 - q1)
         outside = (col < F.lit(q1 - spread)) | (col > F.lit(q3 + spread))
         return {
             "n": F.count(col),
             "mean": F.avg(col),
-            "median": F.max(F.lit(median)),
             "std": F.stddev_samp(col),
             "low": F.min(col),
             "high": F.max(col),
-            "q1": F.max(F.lit(q1)),
-            "q3": F.max(F.lit(q3)),
-            "skew": F.skewness(col),
+            # A constant is told by its range: its moments may be rounding noise.
+            "skew": F.when(F.min(col) < F.max(col), F.skewness(col)),
             "outliers": F.count_if(outside),
         }
 
-    schema = (
-        "n bigint, mean double, median double, std double, low double, high double, "
-        "q1 double, q3 double, skew double, outliers bigint"
-    )
+    schema = "n bigint, mean double, std double, low double, high double, skew double, outliers bigint"
     report = column_report(df, names, metrics, schema)
     skew = F.col("skewness")
     label = F.when(F.abs(skew) < 0.5, "symmetric").when(F.abs(skew) < 1.0, "moderate").otherwise("high")
-    types = {c: df.schema[c].dataType.simpleString() for c in names}
-    type_of = F.lit(None).cast("string")
-    if types:
-        type_of = F.element_at(F.create_map(*[F.lit(x) for pair in types.items() for x in pair]), F.col("column"))
+    known = small_table(df.sparkSession, [(c, df.schema[c].dataType.simpleString(), *quartiles[c]) for c in names],
+        "column string, type string, q1 double, median double, q3 double",
+    )
     return (
-        report.withColumn("skewness", adjusted_skewness(F.col("skew"), F.col("n")))
+        report.join(F.broadcast(known), "column")
+        .withColumn("skewness", adjusted_skewness(F.col("skew"), F.col("n")))
         .select(
             "column",
-            type_of.alias("type"),
+            "type",
             round_even(percent_of(F.col("rows") - F.col("n"), F.col("rows")), 2).alias("missing_pct"),
             *[round_even(F.col(m), 4).alias(m) for m in ("mean", "median", "std")],
             round_even(F.col("low"), 4).alias("min"),
@@ -159,8 +154,7 @@ def categorical_profile(df: DataFrame, *, target: str = "target", max_unique: in
     """Distinct values, cardinality level, missing % and the most frequent value per string column."""
     columns = string_columns(df, exclude=[target])
     if not columns:
-        return df.sparkSession.createDataFrame(
-            [],
+        return small_table(df.sparkSession, [],
             "column string, distinct_values bigint, cardinality string, missing_pct double, "
             "top_value string, top_share_pct double",
         )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.columns import quoted
 from tabloom.functions.lineage import materialize
+from tabloom.functions.wide import small_table
 
 
 def add_row_id(
@@ -46,7 +47,7 @@ def add_row_id(
         offsets.append((r["_part"], total))
         total += r["n"]
     # One row per partition of the sort: small by construction.
-    table = df.sparkSession.createDataFrame(offsets, "_part int, _offset bigint")
+    table = small_table(df.sparkSession, offsets, "_part int, _offset bigint")
     return numbered.join(F.broadcast(table), "_part").select(
         (F.col("_offset") + F.col("_place")).alias(name), *[quoted(c) for c in df.columns]
     )

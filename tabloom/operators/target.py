@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import quoted
 from tabloom.operators.profile import target_distribution
+from tabloom.functions.wide import small_table
 
 
 def make_binary_target(
@@ -41,8 +42,7 @@ def target_summary(
 ) -> DataFrame:
     """One row: passed, class counts, positive rate and balance."""
     if column not in df.columns:
-        return df.sparkSession.createDataFrame(
-            [(False, None, None, None, None)],
+        return small_table(df.sparkSession, [(False, None, None, None, None)],
             "passed boolean, positive bigint, negative bigint, positive_rate_pct double, balance string",
         )
     labelled = make_binary_target(df, column, positive, negative, ignore)

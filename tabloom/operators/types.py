@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabloom.functions.columns import is_fractional, is_string, percent_of, quoted, round_even, value
-from tabloom.functions.wide import column_report
+from tabloom.functions.wide import column_report, melt, small_table
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 CATEGORY_RATIO = 0.50
@@ -32,11 +32,9 @@ def _distinct_counts(df: DataFrame, columns: list[str], exact: bool) -> DataFram
         return column_report(
             df, columns, lambda c: {"distinct_values": _distinct(df, c, False)}, "distinct_values bigint"
         ).select("column", "distinct_values")
-    entries = [
-        F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value")) for c in columns
-    ]
+    text = df.select(*[_as_text(df, c).alias(c) for c in columns])
     return (
-        df.select(F.inline(F.array(*entries)))
+        melt(text, columns, "string")
         .where(F.col("value").isNotNull())
         .distinct()
         .groupBy("column")
@@ -54,6 +52,14 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return col.cast("string")
 
 
+def _column_types(df: DataFrame) -> DataFrame:
+    return small_table(
+        df.sparkSession,
+        [(f.name, f.dataType.simpleString()) for f in df.schema.fields],
+        "column string, type string",
+    )
+
+
 def recommend_types(df: DataFrame, *, exact: bool = True) -> DataFrame:
     """Suggested type per column, in column order.
 
@@ -85,17 +91,18 @@ def recommend_types(df: DataFrame, *, exact: bool = True) -> DataFrame:
         .when(kind == "string", F.when(ratio < CATEGORY_RATIO, "category").otherwise("string"))
         .otherwise(F.col("current_type"))
     )
-    kinds = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.lit(df.schema[c].dataType.simpleString()).alias("current_type"),
-            F.lit(
-                "integer" if c in integral else "float" if is_fractional(df, c) else "string" if c in text else "other"
-            ).alias("kind"),
-        )
-        for c in columns
-    ]
-    catalog = df.sparkSession.range(1).select(F.inline(F.array(*kinds)))
+    catalog = small_table(
+        df.sparkSession,
+        [
+            (
+                c,
+                df.schema[c].dataType.simpleString(),
+                "integer" if c in integral else "float" if is_fractional(df, c) else "string" if c in text else "other",
+            )
+            for c in columns
+        ],
+        "column string, current_type string, kind string",
+    )
     report = report.join(F.broadcast(catalog), "column")
     if text:
         counts = _distinct_counts(df, text, exact)
@@ -144,11 +151,7 @@ def type_report(df: DataFrame, *, exact: bool = True) -> DataFrame:
         lambda c: {"present": F.count(value(df, c)), "example": F.min(_as_example(df, c))},
         "present bigint, example string",
     )
-    types = [
-        F.struct(F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"))
-        for c in columns
-    ]
-    catalog = df.sparkSession.range(1).select(F.inline(F.array(*types)))
+    catalog = _column_types(df)
     missing = round_even(percent_of(F.col("rows") - F.col("present"), F.col("rows")), 2)
     return (
         report.join(F.broadcast(catalog), "column")

@@ -14,13 +14,13 @@ from tabloom.functions.columns import (
     string_columns,
     value,
 )
-from tabloom.functions.wide import column_report
+from tabloom.functions.wide import column_report, small_table
 from tabloom.operators.types import _distinct_counts
 
 
 def _presence(df: DataFrame, names: Sequence[str]) -> DataFrame:
     rows = [(n, n in df.columns) for n in names]
-    return df.sparkSession.createDataFrame(rows, "column string, present boolean")
+    return small_table(df.sparkSession, rows, "column string, present boolean")
 
 
 def check_schema(df: DataFrame, required: Sequence[str]) -> DataFrame:

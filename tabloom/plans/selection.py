@@ -14,6 +14,7 @@ from tabloom.operators.importance import permutation_importance, tree_importance
 from tabloom.operators.information import class_totals, information_value
 from tabloom.sources.csv import write_csv_table
 from tabloom.sources.fits import save_fit
+from tabloom.functions.wide import small_table
 
 STEPS = ("missing", "variance", "correlation", "iv", "importance", "permutation")
 
@@ -65,21 +66,20 @@ class Selection:
         return df.select(*[quoted(c) for c in names if c in df.columns])
 
     def iv_scores(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.iv, "column string, iv double, label string, kind string")
+        return small_table(spark, self.iv, "column string, iv double, label string, kind string")
 
     def importance_scores(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.importance, "column string, importance double")
+        return small_table(spark, self.importance, "column string, importance double")
 
     def permutation_scores(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.permutation, "column string, importance_mean double, importance_std double"
+        return small_table(spark, self.permutation, "column string, importance_mean double, importance_std double"
         )
 
     def report(self, spark: SparkSession) -> DataFrame:
         """Status, step and scores per candidate; selected last among equals, NULL step last."""
         rows = [(c, "dropped", step) for step, names in self.dropped.items() for c in names]
         rows += [(c, "selected", None) for c in self.selected]
-        status = spark.createDataFrame(rows, "column string, status string, step string")
+        status = small_table(spark, rows, "column string, status string, step string")
         return (
             status.join(self.iv_scores(spark).select("column", "iv"), "column", "left")
             .join(self.importance_scores(spark), "column", "left")
@@ -94,7 +94,7 @@ class Selection:
         for number, step in enumerate(STEPS, 1):
             remaining -= len(self.dropped[step])
             rows.append((number, step, len(self.dropped[step]), remaining))
-        return spark.createDataFrame(rows, "step_no int, step string, dropped int, remaining int")
+        return small_table(spark, rows, "step_no int, step string, dropped int, remaining int")
 
     def save(self, spark: SparkSession, folder: str) -> None:
         """Selected list, dropped summary, report and the score tables that have rows."""

@@ -10,13 +10,14 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import SparkSession
+from tabloom.functions.wide import small_table
 
 
 def save_fit(spark: SparkSession, fit: dict | list, path: str) -> None:
     if not isinstance(fit, (dict, list)):
         raise ValueError(f"a fit is a dict or a list, got {type(fit).__name__}")
     text = json.dumps(fit, ensure_ascii=False)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    small_table(spark, [(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def load_fit(spark: SparkSession, path: str, kind: type = dict) -> dict | list:

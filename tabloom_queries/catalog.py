@@ -72,7 +72,7 @@ LOAN_STRINGS = [c for c, t in LOAN_TYPES.items() if t == "string"]
 LINEITEM_TYPES = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
     "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
-    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
 }
 FORMATTED_TYPES = {
     c: "float" if c in ("int_rate", "revol_util") or c.startswith(("issue_d", "earliest")) else LOAN_TYPES.get(c, "tinyint")

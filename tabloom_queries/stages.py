@@ -8,7 +8,7 @@ from tabloom.functions.lineage import materialize
 from tabloom.operators import clean
 from tabloom.operators.target import split_by_year
 from tabloom.plans import loan as loans
-from tabloom.sources.tables import read_parquet_table
+from tabloom.sources.tables import read_parquet_table, spread
 
 # The order dates run from 1995 to 2001: the last two years are validation and test.
 TRAIN_UNTIL, VAL_YEAR, TEST_YEAR = 1999, 2000, 2001
@@ -57,11 +57,16 @@ SELECT
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 """
 
+_plans: dict[tuple[str, str], DataFrame] = {}
 _stored: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet_table(spark, f"{sf_dir}/{name}.parquet")
+    """The plan of a whole table; nothing is cached but the plan."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}")
+    if key not in _plans:
+        _plans[key] = spread(read_parquet_table(spark, f"{sf_dir}/{name}.parquet"))
+    return _plans[key]
 
 
 def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
