@@ -57,23 +57,17 @@ SELECT
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 """
 
-_plans: dict[tuple[str, str], DataFrame] = {}
 _stored: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The plan of a whole table; nothing is cached but the plan."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}")
-    if key not in _plans:
-        _plans[key] = spread(read_parquet_table(spark, f"{sf_dir}/{name}.parquet"))
-    return _plans[key]
+    return read_parquet_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join as a lazy plan; which side is broadcast, if any, is left to Spark."""
-    return spark.sql(
-        LOAN_SQL, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer")
-    )
+    orders = spread(table(spark, sf_dir, "orders"))
+    return spark.sql(LOAN_SQL, orders=orders, customer=table(spark, sf_dir, "customer"))
 
 
 def loan(spark: SparkSession, sf_dir: str) -> DataFrame:
