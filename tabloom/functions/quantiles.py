@@ -130,7 +130,11 @@ def exact_quantiles(
 def _interpolate(position: Fraction, v: str, searches: dict) -> float:
     low = searches[v, math.floor(position)].found
     high = searches[v, math.ceil(position)].found
-    return low if low == high else low + (high - low) * float(position - math.floor(position))
+    if low == high:
+        return low
+    if math.isinf(low) or math.isinf(high):
+        return high  # nothing lies between a number and an infinity
+    return low + (high - low) * float(position - math.floor(position))
 
 
 def _narrow(

@@ -716,11 +716,10 @@ def parse_percentages(spark, sf):
     return rounded(clean.parse_percentages(raw, loans.PERCENT_COLUMNS))
 
 
-@query("SELECT doc_id, lower(trim(lang, " + WS + ")) AS lang, lower(trim(source, " + WS + ")) AS source, length(lower(trim(text, " + WS + "))) AS text_length FROM documents")
+@query("SELECT doc_id, lower(trim(lang, " + WS + ")) AS lang, lower(trim(source, " + WS + ")) AS source, lower(trim(text, " + WS + ")) AS text FROM documents")
 def normalize_strings(spark, sf):
     documents = stages.table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
-    normal = clean.normalize_strings(documents)
-    return normal.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("text_length"))
+    return clean.normalize_strings(documents)
 
 
 @query("SELECT min(doc_id) AS doc_id, count(DISTINCT text) AS texts FROM documents GROUP BY text")
@@ -995,17 +994,34 @@ HEALTH_SQL = union(
 )
 
 
-@query(with_stage("train", f"SELECT \"column\", {r('missing_ratio', 'missing_ratio')}, {r('variance', 'variance', 2)} FROM health WHERE \"column\" NOT IN ('annual_interest_amount_approx', 'loan_amnt', 'annual_inc', 'revol_bal', 'tot_hi_cred_lim', 'installment', 'credit_age_x_fico', 'fico_x_intrate', 'revol_util_sq', 'revol_usage_ratio', 'revol_bal_to_income', 'income_to_loan_ratio', 'installment_to_income')", frame=FRAME_SQL, health=HEALTH_SQL))
+# A variance may have any magnitude, so it is compared as five significant digits and an exponent.
+VARIANCE_SQL = "CASE WHEN variance > 1e-12 THEN {} WHEN variance IS NOT NULL THEN 0 END"
+
+
+@query(
+    with_stage(
+        "train",
+        f"SELECT \"column\", {r('missing_ratio', 'missing_ratio')}, "
+        f"{r(VARIANCE_SQL.format('variance / pow(CAST(10 AS DOUBLE), floor(log10(variance)))'), 'variance_digits', 5)}, "
+        f"CAST({VARIANCE_SQL.format('floor(log10(variance))')} AS BIGINT) AS variance_exponent FROM health",
+        frame=FRAME_SQL,
+        health=HEALTH_SQL,
+    )
+)
 def column_health(spark, sf):
-    frame = _frame(spark, sf)
-    # Left out: variances so large that two engines differ in the printed digits.
-    large = {
-        "annual_interest_amount_approx", "loan_amnt", "annual_inc", "revol_bal", "tot_hi_cred_lim", "installment",
-        "credit_age_x_fico", "fico_x_intrate", "revol_util_sq", "revol_usage_ratio", "revol_bal_to_income",
-        "income_to_loan_ratio", "installment_to_income",
-    }
-    health = select.column_health(frame, [c for c in CANDIDATES if c not in large])
-    return health.select("column", F.round("missing_ratio", 6).alias("missing_ratio"), F.round("variance", 2).alias("variance"))
+    health = select.column_health(_frame(spark, sf), CANDIDATES)
+    v = F.col("variance")
+    exponent = F.floor(F.log10(v))
+
+    def of_variance(col, zero):
+        return F.when(v > 1e-12, col).when(v.isNotNull(), zero)
+
+    return health.select(
+        "column",
+        F.round("missing_ratio", 6).alias("missing_ratio"),
+        F.round(of_variance(v / F.pow(F.lit(10.0), exponent), F.lit(0.0)), 5).alias("variance_digits"),
+        of_variance(exponent, F.lit(0)).cast("bigint").alias("variance_exponent"),
+    )
 
 
 @query(with_stage("train", "SELECT \"column\" FROM health WHERE missing_ratio > 0.25", frame=FRAME_SQL, health=HEALTH_SQL))

@@ -174,3 +174,9 @@ def test_bins_are_exact_fractions(frame):
     df = frame([(float(i),) for i in range(31)], "x double")
     assert information.fit_quantile_edges(df, ["x"], 3)["x"] == [0.0, 10.0, 20.0, 30.0]
     assert Fraction("0.1") == Fraction(1, 10)
+
+
+def test_infinite_values_fall_into_the_outer_bins(frame):
+    rows = [(float(i), i % 2) for i in range(20)] + [(float("inf"), 1)] * 3 + [(float("-inf"), 0)] * 3
+    woe = information.woe_table(frame(rows, "x double, target int"), ["x"], bins=4).collect()
+    assert sum(r["bad"] + r["good"] for r in woe) == 26
