@@ -57,6 +57,13 @@ def free_name(taken: Iterable[str], wanted: str) -> str:
     return wanted
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches, so that what Python makes of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def append_columns(
     df: DataFrame,
     column: str,
@@ -76,7 +83,7 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in small(batches):
             values = dict(zip(batch.schema.names, batch.columns, strict=True))
             values |= dict(zip([f.name for f in fields], work(values[column]), strict=True))
             yield pa.RecordBatch.from_arrays([values[n] for n in names], names=names)

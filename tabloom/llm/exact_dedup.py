@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.lineage import materialize
-from tabloom.llm.common import U64, as_bytes, join_groups, maybe_broadcast, signed
+from tabloom.llm.common import U64, as_bytes, join_groups, maybe_broadcast, signed, small
 
 #: Fingerprints that one slice of the merged filter holds on average.
 SLICE_FINGERPRINTS = 50_000
@@ -63,7 +63,7 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """doc_id, fingerprint (64 bits) and text_sha256 of each normalised text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = as_bytes(normalize(batch.column(1)))
             digests = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
             arrays = [batch.column(0), _prints(texts), digests]
@@ -77,7 +77,7 @@ def _texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, fingerprint and the normalised text itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = normalize(batch.column(1))
             arrays = [batch.column(0), _prints(as_bytes(texts)), texts]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "fingerprint", "norm"])

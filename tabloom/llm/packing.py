@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.lineage import materialize
-from tabloom.llm.common import ChunkTable, kept_in_worker
+from tabloom.llm.common import ChunkTable, kept_in_worker, small
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, local_rank long"
 
@@ -40,7 +40,7 @@ def tokenize(
         table = kept_in_worker(("words", tokenizer), lambda: ChunkTable(word_encoder(tokenizer)))
         seen = np.zeros(capacity + 1, dtype=np.int64)
         task = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in small(batches):
             keys = batch.column(0).to_pylist()
             # Only the space, tab and line ends cut here: what else is white space is the tokenizer's matter.
             texts = [(t or "").translate(_SPACES).split(" ") for t in batch.column(1).to_pylist()]

@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import exact_dedup, packing, sentencepiece_codec
+from tabloom.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    packing,
+    quality_rules,
+    sentencepiece_codec,
+)
 from tabloom.llm.common import ship_package
 
 
@@ -45,6 +52,19 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("detections")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = language_id.vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    return language_id.identify(documents(spark, sf_dir, "doc_id", "text", "lang"), pieces)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_filter(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return packing.pack(pieces)
@@ -53,6 +73,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_license_scan": op6_license_scan,
+    "op8_language_id": op8_language_id,
+    "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
 
