@@ -11,6 +11,7 @@ from tabloom.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    minhash,
     packing,
     quality_rules,
     sentencepiece_codec,
@@ -56,6 +57,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir)).drop("detections")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), words=2, percent=80)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = language_id.vocabulary(tokenizer_path("piece_bpe_32k.model"))
     return language_id.identify(documents(spark, sf_dir, "doc_id", "text", "lang"), pieces)
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
     "op6_license_scan": op6_license_scan,
+    "op7_minhash": op7_minhash,
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
