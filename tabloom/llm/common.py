@@ -57,11 +57,19 @@ def free_name(taken: Iterable[str], wanted: str) -> str:
     return wanted
 
 
-def small(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in short batches, so that what Python makes of one stays small."""
+def small(
+    batches: Iterable[pa.RecordBatch], rows: int = 2048, size: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few rows and bytes, so that what Python makes of one stays small."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        waiting = [batch]
+        while waiting:
+            part = waiting.pop()
+            half = part.num_rows // 2
+            if half and (part.num_rows > rows or part.nbytes > size):
+                waiting += [part.slice(half), part.slice(0, half)]
+            elif part.num_rows:
+                yield part
 
 
 def append_columns(

@@ -11,10 +11,12 @@ from tabloom.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    line_dedup,
     minhash,
     packing,
     quality_rules,
     sentencepiece_codec,
+    substring_dedup,
 )
 from tabloom.llm.common import ship_package
 
@@ -53,6 +55,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_passages(documents(spark, sf_dir))
+    return found.withColumn("n_removed", F.size("removed_spans").cast("long"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir)).drop("detections")
 
@@ -78,6 +89,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_minhash": op7_minhash,
     "op8_language_id": op8_language_id,
@@ -86,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_line_dedup": line_dedup.ORACLE,
     "op2_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
