@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -145,6 +146,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for, and notes the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
 class ChunkTable:
     """Distinct chunks with their ids: each chunk is segmented once, documents gather by position.
 
@@ -152,36 +166,33 @@ class ChunkTable:
     more than `limit` chunks; that changes no result.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], limit: int = 300_000):
+    def __init__(self, encode_many: Callable[[list], list[list[int]]], limit: int = 400_000):
         self.encode_many, self.limit = encode_many, limit
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Numbers()
         self.flat = np.empty(0, dtype=np.int32)
         self.starts = np.zeros(1, dtype=np.int64)
 
-    def ids(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, documents: list[list]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents one after another, and where each document starts."""
         if len(self.index) > self.limit:
             self.clear()
-        chunks = [c for d in documents for c in d]
-        new = list(set(chunks).difference(self.index))
-        if new:
-            coded = self.encode_many(new)
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+        lengths = np.fromiter(map(len, documents), dtype=np.int64, count=len(documents))
+        chunks = chain.from_iterable(documents)
+        at = np.fromiter(map(self.index.__getitem__, chunks), dtype=np.int64, count=int(lengths.sum()))
+        if self.index.new:
+            coded = self.encode_many(self.index.new)
+            self.index.new.clear()
             sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-            ids = np.fromiter((i for c in coded for i in c), dtype=np.int32, count=int(sizes.sum()))
+            ids = np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=int(sizes.sum()))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
             self.flat = np.concatenate([self.flat, ids])
-        at = np.fromiter(map(self.index.__getitem__, chunks), dtype=np.int64, count=len(chunks))
         sizes = self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)]
-        last = np.cumsum(np.fromiter(map(len, documents), dtype=np.int64, count=len(documents)))
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], last])]
-        return ids, bounds
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, ends[np.concatenate([[0], np.cumsum(lengths)])]
 
 
 _KEPT: dict[tuple, object] = {}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.lineage import materialize
-from tabloom.llm.common import ChunkTable, kept_in_worker, small
+from tabloom.llm.common import ChunkTable, as_bytes, kept_in_worker, small
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, local_rank long"
 
@@ -42,9 +42,8 @@ def tokenize(
         task = TaskContext.get().partitionId()
         for batch in small(batches):
             keys = batch.column(0).to_pylist()
-            # Only the space, tab and line ends cut here: what else is white space is the tokenizer's matter.
-            texts = [(t or "").translate(_SPACES).split(" ") for t in batch.column(1).to_pylist()]
-            flat, bounds = table.ids([[w for w in t if w] for t in texts])
+            # ASCII white space cuts; what else is white space is the tokenizer's matter.
+            flat, bounds = table.ids([(t or b"").split() for t in as_bytes(batch.column(1))])
             rows: list[tuple] = []
             for k, key in enumerate(keys):
                 ids = np.append(flat[bounds[k] : bounds[k + 1]], np.int32(end_id)).astype("<u4")
@@ -64,12 +63,11 @@ def tokenize(
     return source.mapInArrow(run, schema)
 
 
-_SPACES = str.maketrans("\t\n\r\f\v", "     ")
 #: A word of lower-case Latin letters, already composed, and ASCII signs after it but no apostrophe.
 _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def word_encoder(tokenizer: str, limit: int = 300_000) -> Callable[[list[str]], list[list[int]]]:
+def word_encoder(tokenizer: str, limit: int = 300_000) -> Callable[[list[bytes]], list[list[int]]]:
     """Ids of words by a tokenizer file whose pre-tokens are letters, digits or runs of signs.
 
     Plain words go straight to the tokenizer's merges, letters and signs apart, since its normaliser
@@ -91,10 +89,11 @@ def word_encoder(tokenizer: str, limit: int = 300_000) -> Callable[[list[str]],
             found = cache[text] = [t.id for t in merges.tokenize(symbols)]
         return found
 
-    def encode(words: list[str]) -> list[list[int]]:
+    def encode(words: list[bytes]) -> list[list[int]]:
         out = []
-        for word in words:
-            plain = _PLAIN.fullmatch(word.lower()) if _LATIN.fullmatch(word) else None
+        for coded in words:
+            word = coded.decode()
+            plain = _PLAIN.fullmatch(word.lower()) if word.isascii() or _LATIN.fullmatch(word) else None
             if plain:
                 out.append(part(plain[1]) + part(plain[2]))
             else:
