@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import (
     exact_dedup,
+    html_extract,
     language_id,
     license_scan,
     line_dedup,
@@ -60,6 +61,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_removed", F.size("removed_spans").cast("long"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_extract.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir))
 
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_html_extract": op4_html_extract,
     "op5_line_dedup": op5_line_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_minhash": op7_minhash,
