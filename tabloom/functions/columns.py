@@ -67,6 +67,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: value(df, c) for c in fractional}) if fractional else df
 
 
+def finite(df: DataFrame, name: str) -> Column:
+    """A numeric column in double with NaN and infinities as NULL."""
+    col = value(df, name).cast("double")
+    return F.when(~is_infinite(col), col)
+
+
 def is_infinite(col: Column) -> Column:
     return F.abs(col) == F.lit(float("inf"))
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.functions.columns import value
+from tabloom.functions.columns import finite
 from tabloom.functions.wide import aggregate_row, column_report, small_table
 
 _SUMS = ("n", "sum_left", "sum_right", "square_left", "square_right", "cross")
@@ -18,7 +18,7 @@ _FLAT = 1e-12
 def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(left, right, pairs, correlation) for every column pair, in column order.
 
-    A pair uses the rows where both values are present; a side that is constant on
+    A pair uses the rows where both values are present and finite; a side that is constant on
     those rows gives NULL. Each task multiplies its Arrow batches into small k-by-k
     matrices and emits them once, so the shuffle carries sums per pair and never
     rows, and the pairs are spread over the reducers. As SQL aggregates the same
@@ -32,7 +32,7 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     moments = aggregate_row(
         df,
         {
-            (i, m): f(value(df, c).cast("double"))
+            (i, m): f(finite(df, c))
             for i, c in index
             for m, f in (("mean", F.avg), ("std", F.stddev_samp))
         },
@@ -41,7 +41,7 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     numbers = df.select(
         *[
             (
-                (value(df, columns[i]).cast("double") - F.lit(moments[i, "mean"])) / F.lit(moments[i, "std"] or 1.0)
+                (finite(df, columns[i]) - F.lit(moments[i, "mean"])) / F.lit(moments[i, "std"] or 1.0)
             ).alias(f"v{i}")
             for i in filled
         ]
@@ -116,10 +116,10 @@ def _pair_sums(indices: list[int]):
 def target_correlation(df: DataFrame, columns: Sequence[str], *, target: str = "target") -> DataFrame:
     """(column, correlation): absolute Pearson with the target, NULL where undefined."""
     columns = [c for c in columns if c != target]
-    label = value(df, target).cast("double")
+    label = finite(df, target)
     expressions = []
     for c in columns:
-        x = value(df, c).cast("double")
+        x = finite(df, c)
         # Both sides are blanked where either is missing, so all three use the same rows.
         left, right = F.when(label.isNotNull(), x), F.when(x.isNotNull(), label)
         # A constant is told by its range: its standard deviation may be rounding noise.

@@ -7,11 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import present, quoted, strip
+from tabloom.functions.lineage import materialize
 from tabloom.functions.wide import melt, small_table
 
 MAX_CATEGORIES = 50
 # A larger map goes in as a joined table and not as a literal of the plan.
 MAX_LITERAL_ENTRIES = 1_000
+# Rows of a rate table that is sent to every executor.
+MAX_BROADCAST_RATES = 200_000
 
 
 def _lookup(key: Column, mapping: Mapping, cast: str) -> Column:
@@ -200,12 +203,34 @@ def fit_target_encoding(
 def target_encode(df: DataFrame, rates: DataFrame, overall: float, columns: Sequence[str]) -> DataFrame:
     """Replace values by their train rate, as float; unseen values get the overall mean, NULL stays NULL.
 
-    The rate table grows with the number of categories, so Spark chooses the join:
-    broadcast while it is small, a shuffle with skew splitting beyond that.
+    A column without rates was left out of the fit, as it has few categories, and is returned as it is.
+    The rates are written once and not aggregated again for each column. A rate table grows with the
+    number of categories: up to ``MAX_BROADCAST_RATES`` rows it is broadcast, beyond that the rows go to
+    it by value, with NULLs and the values that fill a thousandth of the rows kept out of the shuffle.
     """
-    for c in present(df, columns):
+    rates = materialize(rates, "target-rates")
+    fitted = {r["column"]: r["n"] for r in rates.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    for c in [c for c in present(df, columns) if c in fitted]:
         table = rates.where(F.col("column") == c).select(F.col("value").alias("_key"), F.col("rate").alias("_rate"))
-        joined = df.withColumn("_key", quoted(c).cast("string")).join(table, "_key", "left")
+        keyed = df.withColumn("_key", quoted(c).cast("string"))
+        if fitted[c] <= MAX_BROADCAST_RATES:
+            joined = keyed.join(F.broadcast(table), "_key", "left")
+        else:
+            joined = _join_apart(keyed, table)
         code = F.when(F.col("_key").isNotNull(), F.coalesce("_rate", F.lit(overall))).cast("float")
-        df = joined.select(*[code.alias(c) if n == c else quoted(n) for n in df.columns])
+        df = joined.select(*[code.alias(n) if n == c else quoted(n) for n in df.columns])
     return df
+
+
+def _join_apart(keyed: DataFrame, table: DataFrame) -> DataFrame:
+    """Left join on `_key` in which neither NULL nor a frequent value meets in one task."""
+    counts = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    # At most a thousand values can fill a thousandth of the rows each.
+    hot = materialize(counts.where(F.col("_n") * 1000 >= total).select("_key"), "hot-values")
+    hot_table = F.broadcast(table.join(F.broadcast(hot), "_key", "left_semi"))
+    marked = keyed.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "_key", "left")
+    apart = F.col("_key").isNull() | F.col("_hot").isNotNull()
+    few = marked.where(apart).drop("_hot").join(hot_table, "_key", "left")
+    rest = marked.where(~apart).drop("_hot").join(table, "_key", "left")
+    return few.unionByName(rest)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import ast
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -71,24 +71,83 @@ def add_features(df: DataFrame, recipe: Sequence[Feature]) -> DataFrame:
     return df.withColumns(pending) if pending else df
 
 
-_OPERAND = r"\([^()]*\)|[A-Za-z_]\w*"
+_FUNCTIONS = {
+    "abs": F.abs,
+    "sqrt": F.sqrt,
+    "exp": F.exp,
+    "log": F.ln,
+    "log1p": F.log1p,
+    "floor": F.floor,
+    "ceil": F.ceil,
+    "min": F.least,
+    "max": F.greatest,
+}
 
 
-def add_formulas(df: DataFrame, formulas: Mapping[str, str]) -> DataFrame:
-    """Add columns given as arithmetic text (`a / b`, `(a + b) / 2`, `a ** 2`), as float.
+class FormulaError(ValueError):
+    """A formula text that cannot be read."""
+
+
+def formula(text: str, columns: Sequence[str]) -> Column | None:
+    """The expression of an arithmetic text, in double; None if it names a column that is absent.
 
-    The text is a Spark SQL expression apart from `**`, a power. Dividing by a column
-    or a bracket that is missing, infinite or next to zero gives NULL. Formulas that
-    name an absent column are skipped.
+    Names, numbers, ``+ - * / // % **``, signs, brackets and the functions abs, sqrt, exp, log, log1p,
+    floor, ceil, min and max. Dividing by anything but a number gives NULL where the divisor is missing,
+    infinite or next to zero. Whatever else stands in the text is a FormulaError.
     """
+    try:
+        tree = ast.parse(text.strip(), mode="eval").body
+    except SyntaxError as error:
+        raise FormulaError(f"cannot read {text!r}: {error.msg}") from error
+    called = {id(n.func) for n in ast.walk(tree) if isinstance(n, ast.Call)}
+    names = {n.id for n in ast.walk(tree) if isinstance(n, ast.Name) and id(n) not in called}
+    have = set(columns)
+
+    def divide(a: Column, b: Column, divisor: ast.expr) -> Column:
+        number = divisor.value if isinstance(divisor, ast.Constant) else None
+        return a / b if isinstance(number, (int, float)) and number else safe_divide(a, b)
+
+    def build(node: ast.expr) -> Column:
+        match node:
+            case ast.Constant(value=int() | float() as number) if not isinstance(number, bool):
+                return F.lit(float(number))
+            case ast.Name(id=name):
+                return quoted(name).cast("double") if name in have else F.lit(None).cast("double")
+            case ast.UnaryOp(op=ast.USub(), operand=x):
+                return -build(x)
+            case ast.UnaryOp(op=ast.UAdd(), operand=x):
+                return build(x)
+            case ast.BinOp(left=x, op=op, right=y):
+                a, b = build(x), build(y)
+                match op:
+                    case ast.Add():
+                        return a + b
+                    case ast.Sub():
+                        return a - b
+                    case ast.Mult():
+                        return a * b
+                    case ast.Div():
+                        return divide(a, b, y)
+                    case ast.FloorDiv():
+                        return F.floor(divide(a, b, y)).cast("double")
+                    case ast.Mod():
+                        # As in Python the result has the sign of the divisor.
+                        return a - b * F.floor(divide(a, b, y)).cast("double")
+                    case ast.Pow():
+                        return F.pow(a, b)
+            case ast.Call(func=ast.Name(id=name), args=args, keywords=[]) if name in _FUNCTIONS and args:
+                return _FUNCTIONS[name](*[build(x) for x in args]).cast("double")
+        raise FormulaError(f"cannot read {ast.unparse(node)!r} in {text!r}")
+
+    expression = build(tree)
+    return expression if names <= have else None
 
-    def guarded(match: re.Match) -> str:
-        d = match[1]
-        return f"/ CASE WHEN abs({d}) > 1e-9D AND abs({d}) < double('infinity') THEN {d} END"
 
-    added = {}
-    for name, text in formulas.items():
-        if set(re.findall(r"[A-Za-z_]\w*", text)) <= set(df.columns):
-            sql = re.sub(rf"({_OPERAND})\s*\*\*\s*([\d.]+)", r"pow(\1, \2)", text)
-            added[name] = F.expr(re.sub(rf"/\s*({_OPERAND})", guarded, sql)).cast("float")
+def add_formulas(df: DataFrame, formulas: Mapping[str, str]) -> DataFrame:
+    """Add columns given as arithmetic text (`a / b`, `(a + b) / 2`, `a ** 2`), as float; see formula().
+
+    Formulas that name an absent column are skipped; one that cannot be read raises FormulaError.
+    """
+    built = {name: formula(text, df.columns) for name, text in formulas.items()}
+    added = {name: e.cast("float") for name, e in built.items() if e is not None}
     return df.withColumns(added) if added else df

@@ -27,7 +27,8 @@ def column_health(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         columns,
         lambda c: {
             "missing": F.count_if(value(df, c).isNull()),
-            "variance": F.var_samp(value(df, c).cast("double"))
+            # Infinite values have no variance: NaN counts as missing.
+            "variance": F.nanvl(F.var_samp(value(df, c).cast("double")), F.lit(None))
             if is_numeric(df, c)
             else F.max(F.lit(None).cast("double")),
         },

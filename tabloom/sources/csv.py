@@ -12,9 +12,32 @@ from tabloom.operators.types import optimize_types
 
 _EXTRA = "_extra_field"
 
+# The words that table files commonly use for a missing value.
+MISSING_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+def _options(sep: str, encoding: str, multiline: bool) -> dict[str, str]:
+    """A quote inside a quoted value is doubled; blanks are part of a value."""
+    return {
+        "header": "true",
+        "sep": sep,
+        "encoding": encoding,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": str(multiline).lower(),
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+        "mode": "PERMISSIVE",
+        # Stands for an unquoted empty value, so that a quoted one is told from it.
+        "nullValue": "\u0001",
+    }
+
 
 def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
-    return spark.read.options(**{**options, "inferSchema": "false"}).csv(path).columns
+    return spark.read.options(**options).csv(path).columns
 
 
 def read_csv_table(
@@ -27,6 +50,8 @@ def read_csv_table(
     sep: str = ",",
     encoding: str = "utf-8",
     decimal: str = ".",
+    missing: Sequence[str] = MISSING_WORDS,
+    multiline: bool = True,
     partitions: int | None = None,
 ) -> DataFrame:
     """Read CSV or gzip CSV with a header.
@@ -36,10 +61,14 @@ def read_csv_table(
     is declared and rows that fill it are filtered out.
 
     ``schema`` may name only some columns; the others have their type inferred
-    from the kept rows. ``decimal`` other than "." applies to numeric columns of
-    ``schema``. A gzip file is one task to read: ``partitions`` spreads its rows.
+    from the kept rows, with ``rows`` from those rows alone. ``decimal`` other than
+    "." applies to numeric columns of ``schema``. Values in ``missing`` become NULL
+    in every column; with ``()`` only an unquoted empty value is NULL. Quoted line
+    breaks need ``multiline``, which reads each file in one task; plain files can be
+    split with ``multiline=False``. A gzip file is one task to read in any case:
+    its rows are spread over the cores, or over ``partitions``.
     """
-    options = {"header": "true", "sep": sep, "encoding": encoding, "mode": "PERMISSIVE"}
+    options = _options(sep, encoding, multiline)
     names = _header(spark, path, options)
     if isinstance(schema, str):
         schema = spark.createDataFrame([], schema).schema
@@ -52,13 +81,21 @@ def read_csv_table(
         .csv(path)
         .where(F.col(_EXTRA).isNull())
     )
+    if rows:
+        text = text.limit(rows)
     wanted = [c for c in names if c in set(columns)] if columns else names
+    text = text.select(*[_present_value(quoted(c), missing).alias(c) for c in wanted])
     inferred = _infer(text, [c for c in wanted if c not in forced], decimal)
     types = {**inferred, **forced}
-    out = text.select(*[_typed(quoted(c), types[c], decimal).alias(c) for c in wanted])
+    if partitions is None and path.endswith(".gz"):
+        partitions = spark.sparkContext.defaultParallelism
     if partitions:
-        out = out.repartition(partitions)
-    return out.limit(rows) if rows else out
+        text = text.repartition(partitions)
+    return text.select(*[_typed(quoted(c), types[c], decimal).alias(c) for c in wanted])
+
+
+def _present_value(col, missing: Sequence[str]):
+    return F.when(~col.isin(*missing), col) if missing else col
 
 
 def _typed(col, dtype: T.DataType, decimal: str):
@@ -113,7 +150,9 @@ def load_table(
 
 def count_rows(spark: SparkSession, path: str, **dialect) -> int:
     """Rows kept by the reader; header and over-long rows do not count."""
-    text_only = ", ".join(f"`{n}` string" for n in _header(spark, path, {"header": "true", **dialect}))
+    how = {"sep": ",", "encoding": "utf-8", "multiline": True} | dialect
+    names = _header(spark, path, _options(how["sep"], how["encoding"], how["multiline"]))
+    text_only = ", ".join(f"`{n}` string" for n in names)
     return read_csv_table(spark, path, schema=text_only, **dialect).count()
 
 
@@ -148,6 +187,7 @@ def read_sample(
 
 
 def write_csv_table(df: DataFrame, path: str, *, single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` is for report-sized tables only."""
+    """CSV with a header that the reader returns unchanged. ``single_file`` is for report-sized tables only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    options = {k: v for k, v in _options(",", "utf-8", True).items() if k not in ("mode", "multiLine", "nullValue")}
+    out.write.mode("overwrite").options(**options).csv(path)

@@ -17,15 +17,5 @@ def read_parquet_table(spark: SparkSession, path: str, columns: Sequence[str] |
     return nan_to_null(df)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when it has fewer tasks than there are cores.
-
-    Meant for a frame fresh from a reader. A table of a few row groups would be worked
-    on by as few tasks; a large one has more scan tasks than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_parquet_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.functions.lineage import new_path
-from tabloom.operators import clean, encode, information, profile, rowid, select, target, types, validate
+from tabloom.operators import clean, encode, importance, information, profile, rowid, select, target, types, validate
 from tabloom.operators.correlation import correlation_table, target_correlation
 from tabloom.operators.features import add_features, add_formulas
 from tabloom.operators.importance import permutation_importance, tree_importance
@@ -83,21 +83,51 @@ FORMATTED_TYPES = {
 # --- Sources and sinks -------------------------------------------------------
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, o_orderpriority FROM orders")
+@query("SELECT * FROM documents")
 def csv_round_trip(spark, sf):
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    path = new_path(spark, "orders-csv")
-    csv.write_csv_table(stages.table(spark, sf, "orders").select(*columns), path)
-    return rounded(csv.read_csv_table(spark, path))
+    """Every column of the documents, text with its quotes and line breaks included."""
+    path = new_path(spark, "documents-csv")
+    source = stages.table(spark, sf, "documents")
+    csv.write_csv_table(source, path)
+    return csv.read_csv_table(spark, path, schema=source.schema, missing=())
 
 
 @query("SELECT count(*) AS rows FROM documents")
 def csv_count_rows(spark, sf):
     path = new_path(spark, "documents-csv")
-    csv.write_csv_table(stages.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars"), path)
+    csv.write_csv_table(stages.table(spark, sf, "documents"), path)
     return spark.range(1).select(F.lit(csv.count_rows(spark, path)).alias("rows"))
 
 
+_WORDED = "CASE WHEN s_suppkey % 7 = 0 THEN 'NA' WHEN s_suppkey % 7 = 1 THEN 'nan' WHEN s_suppkey % 7 = 2 THEN 'N/A' WHEN s_suppkey % 7 = 3 THEN NULL"
+
+
+@query(
+    f"""SELECT s_suppkey, {r("CASE WHEN s_suppkey % 7 > 3 THEN s_acctbal END", "s_acctbal")},
+    CASE WHEN s_suppkey % 7 > 3 THEN s_nationkey END AS s_nationkey, CASE WHEN s_suppkey % 7 > 3 THEN s_name END AS s_name FROM supplier"""
+)
+def csv_missing_words(spark, sf):
+    """Words for a missing value: NULL in number and text columns alike, which keep their types."""
+    path = new_path(spark, "supplier-csv")
+    worded = {c: F.expr(f"{_WORDED} ELSE CAST({c} AS STRING) END") for c in ("s_acctbal", "s_nationkey", "s_name")}
+    csv.write_csv_table(stages.table(spark, sf, "supplier").withColumns(worded), path)
+    read = csv.read_csv_table(spark, path)
+    assert dict(read.dtypes)["s_acctbal"] == "double" and dict(read.dtypes)["s_nationkey"] == "bigint", read.dtypes
+    return rounded(read.select("s_suppkey", "s_acctbal", "s_nationkey", "s_name"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) t WHERE n <= 100")
+def csv_row_limit(spark, sf):
+    """The first rows of a file, with types from those rows and not from the text that comes later."""
+    path = new_path(spark, "orders-csv")
+    orders = stages.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    late = F.when(F.col("o_orderkey") > 1000, F.lit("x")).otherwise(F.col("o_custkey").cast("string"))
+    csv.write_csv_table(orders.withColumn("o_custkey", late).orderBy("o_orderkey").coalesce(1), path)
+    read = csv.read_csv_table(spark, path, rows=100)
+    assert dict(read.dtypes)["o_custkey"] == "bigint", read.dtypes
+    return read
+
+
 @query("SELECT CAST(c_custkey AS INT) AS c_custkey, round(CAST(CAST(c_acctbal AS FLOAT) AS DOUBLE), 2) AS c_acctbal, c_mktsegment FROM customer")
 def load_table_narrowed(spark, sf):
     path = new_path(spark, "customer-csv")
@@ -148,10 +178,10 @@ def stored_fit(spark, sf):
 # --- Projections and column operators ----------------------------------------
 
 
-@query("SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_id, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem")
+@query("SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) - 1 AS row_id, * FROM lineitem")
 def row_id(spark, sf):
-    lines = stages.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return rowid.add_row_id(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    return rowid.add_row_id(stages.table(spark, sf, "lineitem"), keys)
 
 
 def _key_sql(table: str, key: str) -> str:
@@ -167,12 +197,17 @@ def primary_key_check(spark, sf):
     return clean.primary_key_check(clean.set_primary_key(lines, "id"), "pk")
 
 
-@query(with_stage("labelled", "SELECT column_name AS \"column\" FROM (DESCRIBE SELECT * EXCLUDE (loan_status, total_pymnt, policy_code) FROM labelled)"))
+_LEAKING = ["loan_status", "total_pymnt", "policy_code"]
+_KEPT = [c for c in LOAN_TYPES if c not in _LEAKING]
+
+
+@query(with_stage("labelled", f"SELECT {', '.join(r(c, c) if LOAN_TYPES[c] == 'double' else c for c in _KEPT)}, target FROM labelled"))
 def drop_leakage(spark, sf):
-    kept = clean.drop_leakage(
-        stages.labelled(spark, sf), loans.LEAKAGE_COLUMNS, rules={"drop": {"constant": ["policy_code", "sub_grade"]}}
+    return rounded(
+        clean.drop_leakage(
+            stages.labelled(spark, sf), loans.LEAKAGE_COLUMNS, rules={"drop": {"constant": ["policy_code", "not_there"]}}
+        )
     )
-    return spark.createDataFrame([(c,) for c in kept.columns], "column string")
 
 
 def _type_sql(source: str, columns: dict[str, str]) -> str:
@@ -344,24 +379,6 @@ def domain_clamp(spark, sf):
     return rounded(clean.clamp_domain(stages.formatted(spark, sf).select("id", *loans.DOMAIN_RULES), loans.DOMAIN_RULES))
 
 
-@query(with_stage("loan", union(f"SELECT '{c}' AS \"column\", {str(c in LOAN_TYPES).lower()} AS present" for c in loans.REQUIRED_COLUMNS)))
-def schema_check(spark, sf):
-    return validate.check_schema(stages.loan(spark, sf), loans.REQUIRED_COLUMNS)
-
-
-@query(
-    with_stage(
-        "loan",
-        union(
-            f"SELECT '{c}' AS \"column\", {str(c in LOAN_TYPES).lower()} AS present, {r(f'CAST(1 AS DOUBLE) / {len(LOAN_TYPES)} * 100', 'leakage_pct')}"
-            for c in loans.REPORTED_LEAKAGE_COLUMNS
-        ),
-    )
-)
-def leakage_report(spark, sf):
-    return rounded(validate.check_leakage_columns(stages.loan(spark, sf), loans.REPORTED_LEAKAGE_COLUMNS))
-
-
 # --- Aggregations and profiles -----------------------------------------------
 
 
@@ -742,10 +759,9 @@ def deduplicate_none(spark, sf):
     return clean.deduplicate(documents, ["text"], keep=False).select("doc_id")
 
 
-@query("SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber, l_quantity FROM lineitem")
+@query("SELECT DISTINCT text, lang, source, n_chars FROM documents")
 def deduplicate_rows(spark, sf):
-    lines = stages.table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity")
-    return clean.deduplicate(lines)
+    return clean.deduplicate(stages.table(spark, sf, "documents").drop("doc_id"))
 
 
 # --- Encoding ----------------------------------------------------------------
@@ -837,17 +853,28 @@ def group_categories(spark, sf):
     return encode.group_categories(source, "grade", loans.GRADE_GROUPS, name="grade_group").drop("grade")
 
 
+_EMP_RATE = r("coalesce(t.rate, (SELECT avg(CAST(target AS DOUBLE)) FROM train))", "x")[:-5]
+
+
 @query(
     with_stage(
         "train",
-        f"SELECT f.id, CASE WHEN f.emp_length IS NULL THEN NULL ELSE {r('coalesce(t.rate, (SELECT avg(CAST(target AS DOUBLE)) FROM train))', 'x')[:-5]} END AS emp_length "
+        f"SELECT f.id, CASE WHEN f.emp_length IS NULL THEN NULL ELSE {_EMP_RATE} END AS emp_length, f.home_ownership "
         "FROM formatted f LEFT JOIN (SELECT emp_length, avg(CAST(target AS DOUBLE)) AS rate FROM train WHERE emp_length IS NOT NULL GROUP BY 1) t ON f.emp_length = t.emp_length",
     )
 )
 def target_encode(spark, sf):
-    rates, overall = encode.fit_target_encoding(stages.train(spark, sf), ["emp_length"], min_categories=10)
-    coded = encode.target_encode(stages.formatted(spark, sf).select("id", "emp_length"), rates, overall, ["emp_length"])
-    return rounded(coded)
+    """One column with enough categories to be encoded, one with too few that stays; both with NULLs."""
+    columns = ["emp_length", "home_ownership"]
+    rates, overall = encode.fit_target_encoding(stages.train(spark, sf), columns, min_categories=10)
+    return rounded(encode.target_encode(stages.formatted(spark, sf).select("id", *columns), rates, overall, columns))
+
+
+# 1,500 customers and more: a map that goes in as a joined table and not as literals.
+@query("SELECT o_orderkey, CAST(CASE WHEN o_custkey <= 1500 THEN o_custkey % 97 ELSE -1 END AS DOUBLE) AS customer FROM orders")
+def ordinal_large_map(spark, sf):
+    orders = stages.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    return rounded(encode.ordinal_encode(orders, "customer", {str(k): k % 97 for k in range(1501)}))
 
 
 # --- Derived features --------------------------------------------------------
@@ -935,9 +962,13 @@ FORMULA_SQL = {
 }
 
 
+FORMULA_SQL["TOTAL_INTEREST_BURDEN"] = f"loan_amnt * {_d('int_rate')} * CAST(regexp_extract(term, '[0-9]+') AS DOUBLE) / 12"
+
+
 @query(with_stage("formatted", f"SELECT id, {', '.join(r(_float(e), n, 3) for n, e in FORMULA_SQL.items())} FROM formatted"))
 def formulas(spark, sf):
-    return rounded(add_formulas(stages.formatted(spark, sf), loans.FORMULAS).select("id", *FORMULA_SQL), 3)
+    termed = stages.formatted(spark, sf).withColumn("term_num", F.regexp_extract("term", "[0-9]+", 0).cast("double"))
+    return rounded(add_formulas(termed, loans.FORMULAS).select("id", *FORMULA_SQL), 3)
 
 
 # --- Splits and weights declared in settings ---------------------------------
@@ -1050,6 +1081,23 @@ PAIRS_SQL = union(
 )
 
 
+_WITH_GAPS = "SELECT CASE WHEN o_orderkey % 3 != 0 THEN o_totalprice END AS x, o_custkey AS y FROM orders"
+
+
+@query(f"SELECT 'x' AS \"left\", 'y' AS \"right\", count(x) AS pairs, {r('corr(x, y)', 'correlation', 5)} FROM ({_WITH_GAPS}) t")
+def correlation_infinite(spark, sf):
+    """An infinite value is left out of its pairs and no more."""
+    numbers = _with_infinities(spark, sf).join(stages.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("y")), "o_orderkey")
+    return rounded(correlation_table(numbers, ["x", "y"]), 5)
+
+
+@query("SELECT 'x' AS \"column\" FROM orders WHERE o_orderkey % 3 = 0 HAVING count(*) > 0")
+def sel_variance_infinite(spark, sf):
+    """A column with infinite values has no variance and goes."""
+    names = select.select_by_variance(_with_infinities(spark, sf), ["o_orderkey", "x"])
+    return spark.createDataFrame([(c,) for c in names], "column string")
+
+
 @query(with_stage("train", f"SELECT \"left\", \"right\", pairs, {r('correlation', 'correlation', 5)} FROM pairs", frame=FRAME_SQL, pairs=PAIRS_SQL))
 def correlation_pairs(spark, sf):
     return rounded(correlation_table(_frame(spark, sf), WITH_TARGET), 5)
@@ -1239,11 +1287,42 @@ def selection_waterfall(spark, sf):
     return _funnel(spark, sf).waterfall(spark)
 
 
-@query(with_stage("train", "SELECT unnest(list_sort(list(\"column\")) || ['target']) AS \"column\" FROM steps WHERE step IS NULL", recursive=True, **FUNNEL))
+_COUNTED = union(f"SELECT '{c}' AS \"column\", count({c}) AS present, count(*) AS rows FROM {'train' if c == 'id' else 'frame'}" for c in ["id", *CANDIDATES, "target"])
+
+
+@query(
+    with_stage(
+        "train",
+        """SELECT "column", present, rows FROM counted WHERE "column" IN ('id', 'target')
+        OR "column" IN (SELECT "column" FROM steps WHERE step IS NULL)""",
+        recursive=True,
+        **FUNNEL,
+        counted=_COUNTED,
+    )
+)
 def transform_selected(spark, sf):
-    chosen = _funnel(spark, sf)
-    names = chosen.transform(_frame(spark, sf)).columns
-    return spark.createDataFrame([(c,) for c in names], "column string")
+    """What each column of the final table holds: the excluded id, the selected features and the target."""
+    frame = loans.build_features(stages.train(spark, sf)).select("id", "target", *CANDIDATES)
+    final = fit_selector(frame, exclude=("id",), run_importance=False, run_permutation=False).transform(frame)
+    counts = final.agg(*[F.count(f"`{c}`").alias(c) for c in final.columns], F.count("*").alias("_rows"))
+    names = F.expr("stack(" + str(len(final.columns)) + ", " + ", ".join(f"'{c}', `{c}`" for c in final.columns) + ") AS (column, present)")
+    return counts.select(F.col("_rows").alias("rows"), names).select("column", "present", "rows")
+
+
+@query(
+    """WITH s AS (SELECT o_orderstatus AS status, round(o_totalprice / 20000) AS score, CAST(o_custkey % 2 AS INT) AS label FROM orders),
+    t AS (SELECT status, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM s GROUP BY 1, 2)
+    SELECT a.status, round(CAST(sum(a.pos * b.neg * CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END)
+        AS DOUBLE) / (sum(a.pos * b.neg)), 6) AS auc FROM t a JOIN t b ON a.status = b.status GROUP BY 1"""
+)
+def grouped_auc(spark, sf):
+    """Area under the curve by group, scores full of ties."""
+    scored = stages.table(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("status"),
+        F.round(F.col("o_totalprice") / 20000).alias("score"),
+        (F.col("o_custkey") % 2).cast("int").alias("label"),
+    )
+    return rounded(importance.grouped_auc(scored, ["status"]))
 
 
 # The tree steps have no SQL twin: boosted trees and forests are iterative.
@@ -1251,20 +1330,25 @@ def transform_selected(spark, sf):
 
 @query()
 def sel_tree(spark, sf):
-    return rounded(tree_importance(_frame(spark, sf), NUMERIC, trees=20))
+    return rounded(tree_importance(_frame(spark, sf), NUMERIC))
 
 
 @query()
 def sel_permutation(spark, sf):
-    return rounded(permutation_importance(_frame(spark, sf), ["annual_inc", "loan_amnt", "dti", "revol_util", "fico_avg"]))
+    return rounded(permutation_importance(_frame(spark, sf), NUMERIC))
 
 
 @query()
 def selection_full(spark, sf):
-    chosen = fit_selector(_frame(spark, sf), importance_trees=20)
+    """The whole funnel; the report is what comes back from the saved files."""
+    chosen = fit_selector(_frame(spark, sf))
     folder = new_path(spark, "selection")
     chosen.save(spark, folder)
-    return rounded(chosen.report(spark))
+    assert fits.load_column_list(spark, f"{folder}/selected_features.json") == chosen.selected
+    assert fits.load_fit(spark, f"{folder}/dropped_features.json")["total_selected"] == len(chosen.selected)
+    types_of = {f.name: f.dataType for f in chosen.report(spark).schema}
+    schema = ", ".join(f"`{c}` {t.simpleString()}" for c, t in types_of.items())
+    return rounded(csv.read_csv_table(spark, f"{folder}/feature_selection_report.csv", schema=schema))
 
 
 @query()

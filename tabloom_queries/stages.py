@@ -8,7 +8,7 @@ from tabloom.functions.lineage import materialize
 from tabloom.operators import clean
 from tabloom.operators.target import split_by_year
 from tabloom.plans import loan as loans
-from tabloom.sources.tables import read_parquet_table, spread
+from tabloom.sources.tables import read_parquet_table
 
 # The order dates run from 1995 to 2001: the last two years are validation and test.
 TRAIN_UNTIL, VAL_YEAR, TEST_YEAR = 1999, 2000, 2001
@@ -66,8 +66,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join as a lazy plan; which side is broadcast, if any, is left to Spark."""
-    orders = spread(table(spark, sf_dir, "orders"))
-    return spark.sql(LOAN_SQL, orders=orders, customer=table(spark, sf_dir, "customer"))
+    return spark.sql(LOAN_SQL, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
 
 
 def loan(spark: SparkSession, sf_dir: str) -> DataFrame:

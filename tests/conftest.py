@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -18,9 +19,9 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
+    if not any("spark.checkpoint.dir" in x for x in os.environ.get("PYSPARK_SUBMIT_ARGS", "").split()):
+        builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

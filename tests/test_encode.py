@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import encode
-from tabloom.operators.features import Feature, add_features, add_formulas
+from tabloom.operators.features import Feature, FormulaError, add_features, add_formulas
 from tabloom.plans import loan
 
 
@@ -123,3 +123,38 @@ def test_preparation_round_trip(spark, frame):
     assert out.count() == 90
     holes = out.select(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c, t in out.dtypes if t != "string"]).first()
     assert set(holes) == {0}
+
+
+def test_formulas_of_any_shape(frame):
+    df = frame([(4.0, 2.0, 3.0), (1.0, 0.0, 2.0)], "a double, b double, c double")
+    out = add_formulas(
+        df,
+        {
+            "q": "a ** 2 / b ** 2", "w": "a / b ** 2", "p": "a ** c", "k": "a / abs(b)", "s": "a / 1e-12",
+            "m": "-a % 3", "g": "max(a, b, c) - min(a, b)", "absent": "a + nope",
+        },
+    )
+    rows = [tuple(r)[3:] for r in out.collect()]
+    assert "absent" not in out.columns
+    assert rows[0] == (4.0, 1.0, 64.0, 2.0, pytest.approx(4e12), 2.0, 2.0)
+    assert rows[1] == (None, None, 1.0, None, pytest.approx(1e12), 2.0, 2.0)
+
+
+@pytest.mark.parametrize("text", ["a +", "a if b else c", "__import__('x')", "a.b", "foo(a)", "'x'", "True"])
+def test_formulas_that_cannot_be_read(frame, text):
+    with pytest.raises(FormulaError):
+        add_formulas(frame([(1.0, 2.0)], "a double, b double"), {"x": text})
+
+
+@pytest.mark.parametrize("limit", [200_000, 2])
+def test_target_encoding_keeps_unfitted_columns(frame, monkeypatch, limit):
+    """On either side of the size check; NULLs and a frequent value included."""
+    monkeypatch.setattr(encode, "MAX_BROADCAST_RATES", limit)
+    rows = [(i, None if i % 5 == 0 else i % 13 if i % 2 else 3, "ab"[i % 2], int(i % 3 == 0)) for i in range(400)]
+    train = frame(rows, "id int, many int, few string, target int")
+    rates, overall = encode.fit_target_encoding(train, ["many", "few"])
+    got = {r["id"]: (r["many"], r["few"]) for r in encode.target_encode(train, rates, overall, ["many", "few"]).collect()}
+    mean = {m: [t for _, k, _, t in rows if k == m] for m in {r[1] for r in rows}}
+    for i, many, few, _ in rows:
+        want = None if many is None else pytest.approx(sum(mean[many]) / len(mean[many]))
+        assert got[i] == (want, few)

@@ -1,5 +1,6 @@
 import gzip
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +26,32 @@ def test_long_rows_dropped_short_rows_padded(spark, bad_lines):
     assert csv.read_csv_table(spark, bad_lines, columns=["b"]).columns == ["b"]
 
 
+def test_csv_is_lossless(spark, tmp_path):
+    rows = [
+        (1, " lead ", 'he said "hi", ok', 1.5),
+        (2, "two\nlines", "a\r\nb", None),
+        (3, "", None, 2.0),
+        (4, "NA", "\\n back\\", 3.0),
+        (5, "x\ry", '"', 4.0),
+    ]
+    path, ddl = str(tmp_path / "t"), "a long, b string, c string, d double"
+    csv.write_csv_table(spark.createDataFrame(rows, ddl), path)
+    read = csv.read_csv_table(spark, path, schema=ddl, missing=())
+    assert sorted((tuple(r) for r in read.collect()), key=lambda r: r[0]) == rows
+    assert csv.count_rows(spark, path) == 5
+
+
+def test_csv_as_pandas_reads_it(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b,c\n1,"he said ""hi"", ok",5\n2,"l1\nl2",NA\n3,x,4,9\n4\nnan,n/a,7.5\n')
+    df = csv.read_csv_table(spark, str(path))
+    assert dict(df.dtypes) == {"a": "bigint", "b": "string", "c": "double"}
+    want = pd.read_csv(path, on_bad_lines="skip").astype(object)
+    got = pd.DataFrame([tuple(r) for r in df.collect()], columns=df.columns).astype(object)
+    assert got.where(got.notna(), None).values.tolist() == want.where(want.notna(), None).values.tolist()
+    assert dict(csv.read_csv_table(spark, str(path), rows=1).dtypes) == {"a": "bigint", "b": "string", "c": "bigint"}
+
+
 def test_forced_types(spark, bad_lines):
     df = csv.read_csv_table(spark, bad_lines, schema="b double")
     assert {r["a"]: r["b"] for r in df.collect()} == {1: 2.0, 6: None, 7: None}

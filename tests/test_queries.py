@@ -1,9 +1,5 @@
-"""Registered queries against their SQL twins on the smallest tables.
+"""Registered queries against their SQL twins on the smallest tables."""
 
-The queries that take long to plan in either engine run only with ALL_QUERIES=1.
-"""
-
-import os
 from pathlib import Path
 
 import compare
@@ -12,12 +8,6 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-LONG = {
-    "correlation_pairs", "target_correlations", "sel_correlation", "selection_waterfall",
-    "transform_selected", "selection_full", "sel_tree", "sel_permutation", "prepared_table",
-    "sel_iv", "woe_table", "sel_missing", "sel_variance",
-}
-
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
 
@@ -26,10 +16,8 @@ def con():
     return compare.database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.catalog.QUERIES))
 def test_query(spark, con, name):
-    if name in LONG and not os.environ.get("ALL_QUERIES"):
-        pytest.skip("long; set ALL_QUERIES=1")
     assert compare.compare(spark, con, name, SF_DIR) is None
 
 

@@ -180,3 +180,15 @@ def test_infinite_values_fall_into_the_outer_bins(frame):
     rows = [(float(i), i % 2) for i in range(20)] + [(float("inf"), 1)] * 3 + [(float("-inf"), 0)] * 3
     woe = information.woe_table(frame(rows, "x double, target int"), ["x"], bins=4).collect()
     assert sum(r["bad"] + r["good"] for r in woe) == 26
+
+
+def test_infinite_values(spark):
+    inf = float("inf")
+    data = pd.DataFrame({"x": [1.0, 2, 3, inf, 5, 6], "y": [2.0, 1, 4, 3, 6, -inf], "target": [0, 1, 0, 1, 1, 1]})
+    df = spark.createDataFrame(data)
+    finite = data.replace([inf, -inf], np.nan)
+    assert select.select_by_variance(df, ["x", "y", "target"]) == ["x", "y"]
+    row = correlation_table(df, ["x", "y"]).first()
+    assert row["pairs"] == 4 and row["correlation"] == pytest.approx(finite.corr().loc["x", "y"])
+    scores = {r["column"]: r["correlation"] for r in target_correlation(df, ["x", "y"]).collect()}
+    assert scores["x"] == pytest.approx(abs(finite.corr().loc["x", "target"]))
