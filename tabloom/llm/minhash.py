@@ -35,6 +35,8 @@ MARGIN = 5
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 #: Pairs that read one copy of a set.
 PAIRS_PER_COPY = 2_000
+#: Shingles, counted for each pair, of a block in which pairs are verified together.
+BLOCK_SHINGLES = 4_000_000
 
 #: Odd multipliers, one for each register.
 _FACTORS = (mix(np.arange(1, REGISTERS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) >> U64(32)).astype(
@@ -179,13 +181,9 @@ def _verify(pairs: DataFrame, registers: DataFrame, sets: DataFrame, percent: in
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, 64):
-            keep = []
             xs, ys = (c.field("shingles").to_pylist() for c in batch.columns[2:4])
-            for x, y in zip(xs, ys, strict=True):
-                both = len(x) // 8 + len(y) // 8
-                joined = np.sort(np.frombuffer(x + y, dtype=U64))
-                shared = int(np.count_nonzero(joined[1:] == joined[:-1]))
-                keep.append(100 * shared >= percent * (both - shared))
+            read = [(np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)) for x, y in zip(xs, ys, strict=True)]
+            keep = [_linked(x, y, percent) for x, y in read]
             yield pa.RecordBatch.from_arrays(
                 [c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"]
             )
@@ -262,21 +260,78 @@ def _across(members: DataFrame, component: DataFrame, registers: DataFrame, perc
         values = _table(table["registers"].combine_chunks())
         band = table["band"][0].as_py()
         plain = np.flatnonzero(~is_query)
-        out_a, out_b = [], []
+        found: list[list[np.ndarray]] = []
         for q in np.flatnonzero(is_query):
             own = plain[(component[plain] != component[q]) & (ids[plain] != ids[q])]
+            own = own[100 * np.minimum(n[own], n[q]) >= percent * np.maximum(n[own], n[q])]
             if not len(own):
                 continue
             equal = values[own] == values[q]
-            near = estimate(equal.sum(axis=1), n[own], np.full(len(own), n[q])) >= least
+            similar = estimate(equal.sum(axis=1), n[own], np.full(len(own), n[q]))
             first = equal.reshape(-1, BANDS, BAND_REGISTERS).all(axis=2).argmax(axis=1)
-            found = ids[own[near & (first == band)]]
-            out_a.append(np.minimum(found, ids[q]))
-            out_b.append(np.maximum(found, ids[q]))
-        empty = np.empty(0, dtype=np.int64)
-        return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
+            keep = (similar >= least) & (first == band)
+            own, like = own[keep], np.full(int(keep.sum()), q)
+            a, b = np.where(ids[own] < ids[q], own, like), np.where(ids[own] < ids[q], like, own)
+            found.append([ids[a], ids[b], component[a], component[b], n[own] + n[q], similar[keep]])
+        columns = zip(*found, strict=True) if found else [[np.empty(0, dtype=np.int64)]] * 6
+        names = ["a", "b", "component_a", "component_b", "shingles", "similar"]
+        made = dict(zip(names, map(np.concatenate, columns), strict=True))
+        return pa.table(made | {"similar": made["similar"].astype(np.float64)})
 
-    return both.groupBy("key", "q", "r").applyInArrow(compare, "a long, b long").distinct()
+    schema = "a long, b long, component_a long, component_b long, shingles long, similar double"
+    return both.groupBy("key", "q", "r").applyInArrow(compare, schema).dropDuplicates(["a", "b"])
+
+
+def _verify_blocks(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links a, b that connect components; pairs whose components are connected already are passed over.
+
+    In a dense group documents have very many pairs, so pairs are dealt into blocks of a grid, by a and
+    within a row of the grid by b, and each block gets every set that it needs once. The number of blocks
+    follows the shingles to be read. The most similar pairs of a block come first.
+    """
+    pairs = materialize(pairs, "open-pairs")
+    weight = pairs.agg(F.sum("shingles")).first()[0] or 0
+    rows = max(1, int(np.ceil(np.sqrt(weight / BLOCK_SHINGLES))))
+    placed = pairs.withColumn("r", F.pmod(F.xxhash64("a"), F.lit(rows)))
+    blocks = placed.groupBy("r").agg(F.ceil(F.sum("shingles") / BLOCK_SHINGLES).cast("long").alias("blocks"))
+    placed = placed.join(blocks, "r").withColumn("c", F.pmod(F.xxhash64("b", F.lit(1)), F.col("blocks")))
+    placed = materialize(placed.drop("blocks", "shingles"), "placed-pairs")
+    needed = placed.select("r", "c", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    values = needed.join(sets, "doc_id").withColumnRenamed("doc_id", "a")
+    both = placed.unionByName(values, allowMissingColumns=True)
+
+    def verify(table: pa.Table) -> pa.Table:
+        has_set = np.asarray(table["shingles"].is_valid())
+        held = table.filter(pa.array(has_set))
+        known = {k: np.frombuffer(v, dtype=U64) for k, v in zip(*_lists(held, "a", "shingles"), strict=True)}
+        open_pairs = table.filter(pa.array(~has_set)).sort_by([("similar", "descending")])
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                x = up
+            return x
+
+        links = []
+        for a, b, x, y in zip(*_lists(open_pairs, "a", "b", "component_a", "component_b"), strict=True):
+            x, y = root(x), root(y)
+            if x != y and _linked(known[a], known[b], percent):
+                parent[max(x, y)] = min(x, y)
+                links.append((a, b))
+        found = np.array(links, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return both.groupBy("r", "c").applyInArrow(verify, "a long, b long")
+
+
+def _lists(table: pa.Table, *names: str) -> list[list]:
+    return [table[n].to_pylist() for n in names]
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    joined = np.sort(np.concatenate([x, y]))
+    shared = int(np.count_nonzero(joined[1:] == joined[:-1]))
+    return 100 * shared >= percent * (len(joined) - shared)
 
 
 def near_duplicates(
@@ -317,7 +372,8 @@ def near_duplicates(
 
     links = _verify(_stars(members, rows), registers, sets, percent)
     component = materialize(connected_components(links), "components")
-    more = _verify(_across(members, component, registers, percent, rows), registers, sets, percent)
+    across = _across(members, component, registers, percent, rows)
+    more = materialize(_verify_blocks(across, sets, percent), "more-links")
     if not more.isEmpty():
         component = materialize(connected_components(links.union(more)), "components")
 
