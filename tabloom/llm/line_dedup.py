@@ -13,7 +13,7 @@ MIN_DOCUMENTS = 10
 #: Words of the shortest line that is looked at.
 MIN_WORDS = 4
 #: Leading words that, with the number of words, lead to a leaf of the tree.
-LEADING_WORDS = 3
+LEADING_WORDS = 2
 #: Share of a template's words that must be fixed.
 FIXED_SHARE = 0.5
 
