@@ -152,6 +152,8 @@ def fit_votes(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> VoteMo
     Each rule looks for one kind of fault, and a bad document has some of them and not all. Hence the
     bounds, which also keep the classes from changing sides: a rule is against 0.5 to 1 % of the good
     documents and 5 to 30 % of the bad ones. So one rule alone seldom decides, two against mostly do.
+    A rule that is against a large share of a corpus, such as text without full stops, says little
+    there: its first bound rises with the square of that share, and the second is at least the first.
     Abstaining says nothing about the class.
     """
     good, bad = np.array([1.0, 0.99, 0.01]), np.array([1.0, 0.8, 0.2])
@@ -166,7 +168,9 @@ def fit_votes(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> VoteMo
             against, cast = votes[:, j] == 2, votes[:, j] > 0
             in_good = (good[against].sum() + 0.2) / (good[cast].sum() + 1)
             in_bad = (bad[against].sum() + 0.8) / (bad[cast].sum() + 1)
-            in_good, in_bad = np.clip(in_good, 0.005, 0.01), np.clip(in_bad, 0.05, 0.3)
+            share = counts[against].sum() / max(counts[cast].sum(), 1)
+            in_good = np.clip(in_good, 0.005, max(0.01, share**2))
+            in_bad = max(np.clip(in_bad, 0.05, 0.3), in_good)
             model.given_good[j] = [1.0, 1 - in_good, in_good]
             model.given_bad[j] = [1.0, 1 - in_bad, in_bad]
     return model
