@@ -8,6 +8,8 @@ buffer. Here each wanted order statistic is instead cornered between two values:
 2. *Count*: one grouped aggregate counts the rows between and on the cuts. The
    counts are exact, so each rank's open interval (lo, hi) shrinks or the rank
    is found to sit on a cut. Repeat while an interval holds too many rows.
+   After the first round what lies inside is written to the shared folder, and
+   all further passes read only that: the table itself is read four times at most.
 3. *Pick*: rows inside the remaining intervals, which are known to be few, are
    grouped by value and a running count over those values names the ranks.
 
@@ -25,6 +27,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import sql_double, value
+from tabloom.functions.lineage import materialize
 from tabloom.functions.wide import aggregate_row, chunks, small_table
 
 MAX_INSIDE = 1_000_000
@@ -89,7 +92,7 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of the non-missing values of each column.
 
-    Every pass reads ``df`` again with only ``columns`` selected, so its rows must
+    Up to four passes read ``df`` with only ``columns`` selected, so its rows must
     be the same each time; materialise an expensive or non-deterministic frame first.
     """
     columns = list(dict.fromkeys(columns))
@@ -115,6 +118,8 @@ def exact_quantiles(
         s for s in searches.values() if s.found is None and s.inside > max_inside
     ]:
         _narrow(numbers, open_searches, list(searches.values()), sample_rows, seed)
+        if not seed:
+            numbers = _survivors(numbers, [s for s in searches.values() if s.found is None])
         seed += 1
     _pick(numbers, [s for s in searches.values() if s.found is None])
 
@@ -127,6 +132,18 @@ def exact_quantiles(
     return result
 
 
+def _survivors(numbers: DataFrame, searches: list[_Search]) -> DataFrame:
+    """The values inside the intervals, all others as NULL, written once; rows without any are left out."""
+    tests: dict[str, str] = {}
+    for s in searches:
+        inside = f"({s.contains()})"
+        tests[s.column] = f"{tests[s.column]} OR {inside}" if s.column in tests else inside
+    if not tests:
+        return numbers.limit(0)
+    kept = numbers.selectExpr(*[f"CASE WHEN {test} THEN {v} END AS {v}" for v, test in tests.items()])
+    return materialize(kept.where(" OR ".join(f"{v} IS NOT NULL" for v in tests)), "inside")
+
+
 def _interpolate(position: Fraction, v: str, searches: dict) -> float:
     low = searches[v, math.floor(position)].found
     high = searches[v, math.ceil(position)].found
@@ -168,17 +185,21 @@ def _narrow(
         )
         cuts |= {(m[0].column, smallest[i]) for i, m in enumerate(missed)}
 
+    # With the bounds of all intervals as cuts no cell spans two intervals.
+    waiting = [s for s in every if s.found is None]
+    cuts |= {(s.column, bound) for s in waiting for bound in (s.lo, s.hi) if bound is not None}
     by_column: dict[str, list[float]] = {}
     for column, cut in sorted(cuts):
         by_column.setdefault(column, []).append(cut)
     counts = _count_cells(numbers, by_column)
-    for s in every:
-        less = 0
+    for s in waiting:
+        lo, hi, less = s.lo, s.hi, s.below
         for i, cut in enumerate(by_column.get(s.column, [])):
-            less += counts.get((s.column, 2 * i), 0)
-            upto = less + counts.get((s.column, 2 * i + 1), 0)
-            s.shrink(cut, less, upto)
-            less = upto
+            if (lo is None or cut > lo) and (hi is None or cut < hi):
+                less += counts.get((s.column, 2 * i), 0)
+                upto = less + counts.get((s.column, 2 * i + 1), 0)
+                s.shrink(cut, less, upto)
+                less = upto
 
 
 def _count_cells(numbers: DataFrame, cuts: dict[str, list[float]]) -> dict[tuple[str, int], int]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.functions.lineage import new_path
+from tabloom.functions.quantiles import exact_quantiles
 from tabloom.operators import clean, encode, importance, information, profile, rowid, select, target, types, validate
 from tabloom.operators.correlation import correlation_table, target_correlation
 from tabloom.operators.features import add_features, add_formulas
@@ -764,6 +765,24 @@ def deduplicate_rows(spark, sf):
     return clean.deduplicate(stages.table(spark, sf, "documents").drop("doc_id"))
 
 
+_CORNERED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_TENTHS = [0.01, 0.1, 0.25, 0.5, 0.9, 0.999]
+
+
+@query(
+    union(
+        f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS point, {r(f'quantile_cont(CAST({c} AS DOUBLE), {p})', 'quantile')} FROM lineitem"
+        for c in _CORNERED
+        for p in _TENTHS
+    )
+)
+def quantiles_narrowed(spark, sf):
+    """Limits so small that every quantile is found by narrowing intervals, in several rounds."""
+    found = exact_quantiles(stages.table(spark, sf, "lineitem"), _CORNERED, _TENTHS, max_inside=50, sample_rows=300)
+    rows = [(c, p, q) for c, values in found.items() for p, q in zip(_TENTHS, values)]
+    return rounded(spark.createDataFrame(rows, "column string, point double, quantile double"))
+
+
 # --- Encoding ----------------------------------------------------------------
 
 ORDINAL = loans.ENCODING_RULES["ordinal"]
