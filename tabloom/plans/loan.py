@@ -147,6 +147,16 @@ GRADE_GROUPS = {
     "high_risk": ["E", "F", "G"],
 }
 
+# Groups of purposes for analysis; unlike those of the rule document they hold education under other.
+PURPOSE_GROUPS = {
+    "debt": ["debt_consolidation", "credit_card"],
+    "home": ["home_improvement", "house", "moving"],
+    "purchases": ["major_purchase", "car", "vacation", "wedding"],
+    "business": ["small_business"],
+    "health": ["medical"],
+    "other": ["other", "renewable_energy", "educational"],
+}
+
 FORMULAS = {
     "INCOME_TO_LOAN_RATIO": "annual_inc / loan_amnt",
     "DTI_RATIO": "dti / 100",

@@ -866,6 +866,63 @@ def encode_categoricals(spark, sf):
     return rounded(_ints(encode.encode_categoricals(stages.formatted(spark, sf).select(*columns), fit)))
 
 
+# Columns of a real loan table that the view lacks, by arithmetic on the id, with the values of the shipped rules.
+_PURPOSES = [v for group in loans.PURPOSE_GROUPS.values() for v in group] + ["unlisted"]
+EXTENSION = {
+    "purpose": "CASE CAST(id % 16 AS INT) " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(_PURPOSES)) + " END",
+    "verification_status": "CASE CAST(id % 4 AS INT) WHEN 0 THEN 'Verified' WHEN 1 THEN 'Not Verified' WHEN 2 THEN 'Source Verified' END",
+    "initial_list_status": "CASE CAST(id % 7 AS INT) WHEN 0 THEN NULL WHEN 1 THEN 'x' WHEN 2 THEN 'w ' WHEN 3 THEN 'w' ELSE 'f' END",
+    "sub_grade": "grade || CAST(id % 5 AS STRING)",
+    "total_bal_ex_mort": "CASE WHEN id % 11 = 0 THEN NULL ELSE CAST((id * 997) % 120000 AS DOUBLE) END",
+}
+_EXTENDED = "SELECT * EXCLUDE (purpose), " + ", ".join(f"{e} AS {c}" for c, e in EXTENSION.items()) + " FROM formatted"
+
+
+def _extended(spark, sf) -> DataFrame:
+    return stages.formatted(spark, sf).withColumns({c: F.expr(e) for c, e in EXTENSION.items()})
+
+
+_SHIPPED = loans.ENCODING_RULES["group_one_hot"]["purpose"]
+
+
+def _case_groups(groups: dict) -> str:
+    cases = " ".join(f"WHEN purpose IN ({strings(v)}) THEN '{g}'" for g, v in groups.items())
+    return f"CASE WHEN purpose IS NULL THEN NULL {cases} ELSE 'other' END"
+
+
+_SHIPPED_SQL = ", ".join(
+    [r(_ordinal_sql(c), c) for c in ORDINAL]
+    + [HOME_SQL]
+    + [_flag(f"verification_status = '{v}'", f"verification_status_{v}") for v in ("Not Verified", "Source Verified", "Verified")]
+    + [_flag("verification_status IS NULL", "verification_status_nan")]
+    + [_flag(f"({_case_groups(_SHIPPED)}) = '{g}'", f"purpose_{g}") for g in sorted(_SHIPPED)]
+    + [_flag("purpose IS NULL", "purpose_nan")]
+)
+
+
+@query(with_stage("formatted", f"SELECT id, {_SHIPPED_SQL} FROM extended", extended=_EXTENDED))
+def shipped_rules(spark, sf):
+    """The shipped rule document, all of it, on the values that it is written for."""
+    table = clean.drop_leakage(_extended(spark, sf), [], rules=loans.ENCODING_RULES)
+    ruled = [*ORDINAL, *loans.ENCODING_RULES["one_hot"], "purpose", "sub_grade"]
+    source = table.select("id", *[c for c in ruled if c in table.columns])
+    return rounded(_ints(encode.encode_categoricals(source, encode.fit_encoding(source, loans.ENCODING_RULES))))
+
+
+@query(with_stage("formatted", f"SELECT id, {_case_groups(loans.PURPOSE_GROUPS)} AS purpose_group FROM extended", extended=_EXTENDED))
+def purpose_groups(spark, sf):
+    source = _extended(spark, sf).select("id", "purpose")
+    return encode.group_categories(source, "purpose", loans.PURPOSE_GROUPS, name="purpose_group").drop("purpose")
+
+
+_DEBT_SQL = "CAST(CASE WHEN abs(annual_inc) > 1e-9 THEN total_bal_ex_mort / annual_inc END AS FLOAT)"
+
+
+@query(with_stage("formatted", f"SELECT id, {r(_DEBT_SQL, 'total_debt_to_income', 3)} FROM extended", extended=_EXTENDED))
+def total_debt_to_income(spark, sf):
+    return rounded(loans.add_financial_ratios(_extended(spark, sf)).select("id", "total_debt_to_income"), 3)
+
+
 @query(with_stage("formatted", "SELECT id, CASE WHEN grade IN ('A', 'B') THEN 'low_risk' WHEN grade IN ('C', 'D') THEN 'mid_risk' WHEN grade IN ('E', 'F', 'G') THEN 'high_risk' END AS grade_group FROM formatted"))
 def group_categories(spark, sf):
     source = stages.formatted(spark, sf).select("id", "grade")
