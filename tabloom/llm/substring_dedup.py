@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.llm.common import append_columns, as_bytes, mix, small
+from tabloom.functions.lineage import materialize
+from tabloom.llm.common import append_columns, as_bytes, join_groups, mix, small
 
 #: Bytes that the rolling hash remembers: it has 16 bits and moves by one for each byte.
 WINDOW = 16
@@ -20,6 +21,8 @@ WINDOW = 16
 CHUNK_WORDS = 5
 #: A chunk that has not ended after so many bytes ends there.
 CHUNK_BYTES = 2048
+#: Documents of a batch in which a chunk must occur for its places to go apart from those of others.
+FREQUENT_DOCUMENTS = 8
 #: Words that consecutive repeated chunks must have together to count as a repeated passage.
 PASSAGE_WORDS = 16
 #: Of these, words that must have been in one and the same earlier document.
@@ -72,11 +75,14 @@ def chunk_ends(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-_ENTRIES = "digest long, first_doc long, docs array<long>, starts array<int>, ends array<int>"
+_ENTRIES = "digest long, first_doc long, frequent boolean, docs array<long>, starts array<int>, ends array<int>"
 
 
-def _chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row for each distinct chunk of a batch, with all its places there."""
+def _chunks(df: DataFrame, doc_id: str, text: str, frequent_ones: bool) -> DataFrame:
+    """One row for each distinct chunk of a batch, with its places there.
+
+    With `frequent_ones` only chunks in many documents of the batch; else all, those without their places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -99,17 +105,24 @@ def _chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
             docs = np.repeat(ids, sizes)
             order = np.lexsort((starts, docs, values))
             values, docs, starts, ends = (x[order] for x in (values, docs, starts, ends))
-            first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else order
-            bounds = pa.array(np.append(first, len(values)).astype(np.int32))
+            new_value = np.append(True, values[1:] != values[:-1])[: len(values)]
+            new_doc = new_value | np.append(True, docs[1:] != docs[:-1])[: len(values)]
+            first = np.flatnonzero(new_value)
+            places = np.diff(np.append(first, len(values)))
+            frequent = np.bincount(np.cumsum(new_value)[new_doc] - 1, minlength=len(first)) >= FREQUENT_DOCUMENTS
+            with_places = frequent == frequent_ones
+            shown = np.repeat(with_places, places)
+            rows = with_places if frequent_ones else np.ones(len(first), dtype=bool)
+            bounds = pa.array(np.append(0, np.cumsum((places * with_places)[rows])).astype(np.int32))
+            lists = [docs[shown], starts[shown].astype(np.int32), ends[shown].astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(values[first]),
-                    pa.array(docs[first]),
-                    pa.ListArray.from_arrays(bounds, pa.array(docs)),
-                    pa.ListArray.from_arrays(bounds, pa.array(starts.astype(np.int32))),
-                    pa.ListArray.from_arrays(bounds, pa.array(ends.astype(np.int32))),
+                    pa.array(values[first][rows]),
+                    pa.array(docs[first][rows]),
+                    pa.array(frequent[rows]),
+                    *[pa.ListArray.from_arrays(bounds, pa.array(x)) for x in lists],
                 ],
-                names=["digest", "first_doc", "docs", "starts", "ends"],
+                names=["digest", "first_doc", "frequent", "docs", "starts", "ends"],
             )
 
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -119,11 +132,11 @@ def _chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, start, end (bytes), owner of each chunk that a document with a smaller doc_id has too.
 
-    The owner is the document with the smallest doc_id.
-
-    Tasks send a row for each distinct chunk of a batch, so a chunk that fills the corpus is one row for
-    each batch. Rows of a digest then stand next to each other in a sorted partition; they are read as a
-    stream, and only those of digests with several documents are written.
+    The owner is the document with the smallest doc_id. Tasks send a row for each distinct chunk of a
+    batch. Rows of a digest then stand next to each other in a sorted partition; they are read as a
+    stream, and only those of digests with several documents are written. A chunk that is frequent in a
+    batch, and might fill the corpus, goes there without its places: they come from a second scan and
+    meet their owner in a join that keeps hot keys apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,24 +146,40 @@ def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             if not len(digest):
                 continue
             new = np.append(digest[0] != owner[0], digest[1:] != digest[:-1])
-            heads = np.where(new, np.arange(len(digest)), -1)
-            heads = np.maximum.accumulate(heads)
+            heads = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
             owners = np.where(heads >= 0, first[heads], owner[1])
             owner = int(digest[-1]), int(owners[-1])
-            lists = [batch.column(i) for i in (2, 3, 4)]
+            lists = [batch.column(i) for i in (3, 4, 5)]
             sizes = np.diff(lists[0].offsets.to_numpy())
             docs, starts, ends = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
-            owners = np.repeat(owners, sizes)
-            other = docs != owners
+            each = np.repeat(owners, sizes)
+            other = docs != each
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[other]) for x in (docs, starts, ends, owners)],
-                names=["doc_id", "start", "end", "owner"],
+                [pa.array(x[other]) for x in (docs, starts, ends, each)] + [pa.nulls(int(other.sum()), pa.int64())],
+                names=["doc_id", "start", "end", "owner", "digest"],
+            )
+            often = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), dtype=bool)
+            none = [pa.nulls(int(often.sum()), t) for t in (pa.int64(), pa.int32(), pa.int32())]
+            yield pa.RecordBatch.from_arrays(
+                [*none, pa.array(owners[often]), pa.array(digest[often])],
+                names=["doc_id", "start", "end", "owner", "digest"],
             )
 
-    sorted_rows = (
-        _chunks(df, doc_id, text).repartition("digest").sortWithinPartitions("digest", "first_doc")
+    sorted_rows = _chunks(df, doc_id, text, frequent_ones=False)
+    sorted_rows = sorted_rows.repartition("digest").sortWithinPartitions("digest", "first_doc")
+    found = materialize(
+        sorted_rows.mapInArrow(run, "doc_id long, start int, end int, owner long, digest long"), "repeated-chunks"
+    )
+    spans = found.where("doc_id is not null").select("doc_id", "start", "end", "owner")
+    owners = found.where("digest is not null").groupBy("digest")
+    owners = materialize(owners.agg(F.min("owner").alias("owner"), F.count("*").alias("n")), "frequent-chunks")
+    frequent = materialize(_chunks(df, doc_id, text, frequent_ones=True).drop("first_doc", "frequent"), "frequent-places")
+    placed = join_groups(frequent, owners, ["digest"], "n", frequent.count())
+    places = F.explode(F.arrays_zip("docs", "starts", "ends"))
+    placed = placed.select("owner", places.alias("p")).select(
+        F.col("p.docs").alias("doc_id"), F.col("p.starts").alias("start"), F.col("p.ends").alias("end"), "owner"
     )
-    return sorted_rows.mapInArrow(run, "doc_id long, start int, end int, owner long")
+    return spans.unionByName(placed.where("doc_id != owner"))
 
 
 def passages(text: bytes, places: list[dict], least_words: int = PASSAGE_WORDS) -> list[tuple[int, int]]:
