@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions.columns import finite
@@ -11,6 +12,8 @@ from tabloom.functions.wide import aggregate_row, column_report, small_table
 
 _SUMS = ("n", "sum_left", "sum_right", "square_left", "square_right", "cross")
 _SCHEMA = "i int, j int, " + ", ".join(f"{s} double" for s in _SUMS)
+# Rows of a left column are first added up in so many groups of tasks.
+PARTS = 64
 # Rounding noise of standardised values: a spread below this is a constant.
 _FLAT = 1e-12
 
@@ -20,15 +23,13 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A pair uses the rows where both values are present and finite; a side that is constant on
     those rows gives NULL. Each task multiplies its Arrow batches into small k-by-k
-    matrices and emits them once, so the shuffle carries sums per pair and never
-    rows, and the pairs are spread over the reducers. As SQL aggregates the same
-    thing is several expressions for each of k*(k-1)/2 pairs.
+    matrices and emits one packed row per left column, so the shuffle carries sums and
+    never rows, and the left columns are spread over the reducers. As SQL aggregates the
+    same thing is several expressions for each of k*(k-1)/2 pairs.
     """
     spark = df.sparkSession
     columns = list(columns)
-    index = [(i, c) for i, c in enumerate(columns)]
-    names = small_table(spark, [(i, j, a, b) for i, a in index for j, b in index if i < j], "i int, j int, left string, right string"
-    )
+    index = list(enumerate(columns))
     moments = aggregate_row(
         df,
         {
@@ -40,15 +41,21 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     filled = [i for i, _ in index if moments[i, "mean"] is not None]
     numbers = df.select(
         *[
-            (
-                (finite(df, columns[i]) - F.lit(moments[i, "mean"])) / F.lit(moments[i, "std"] or 1.0)
-            ).alias(f"v{i}")
+            ((finite(df, columns[i]) - F.lit(moments[i, "mean"])) / F.lit(moments[i, "std"] or 1.0)).alias(f"v{i}")
             for i in filled
         ]
     )
-    empty = small_table(spark, [], _SCHEMA)
-    sums = numbers.mapInArrow(_pair_sums(filled), _SCHEMA) if len(filled) > 1 else empty
-    totals = sums.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in _SUMS])
+    totals = small_table(spark, [], _SCHEMA)
+    if len(filled) > 1:
+        packed = numbers.mapInArrow(_pair_sums(filled), "i int, part int, sums binary")
+        # Two levels: no left column meets the rows of all tasks at once.
+        halfway = packed.groupBy("i", "part").applyInArrow(_merge(filled, None), "i int, sums binary")
+        totals = halfway.groupBy("i").applyInArrow(_merge(filled, _SUMS), _SCHEMA)
+    names = small_table(spark, index, "i int, left string")
+    places = names.withColumn("j", F.explode(F.expr(f"sequence(i + 1, {max(len(columns) - 1, 0)})")))
+    places = places.where("j > i").join(
+        names.select(F.col("i").alias("j"), F.col("left").alias("right")), "j"
+    )
 
     def spread(side: str):
         s = F.col(f"square_{side}") - F.col(f"sum_{side}") * F.col(f"sum_{side}") / F.col("n")
@@ -57,7 +64,7 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     covariance = F.col("cross") - F.col("sum_left") * F.col("sum_right") / F.nullif(F.col("n"), F.lit(0.0))
     correlation = F.when(F.col("n") > 1, covariance / F.sqrt(spread("left") * spread("right")))
     return (
-        names.join(totals, ["i", "j"], "left")
+        places.join(totals, ["i", "j"], "left")
         .select(
             "i",
             "j",
@@ -93,26 +100,39 @@ def _pair_sums(indices: list[int]):
             total += x.T @ mask
             square += (x * x).T @ mask
             cross += x.T @ x
-        a, b = np.triu_indices(k, 1)
         if count.any():
-            at = np.asarray(indices, dtype="int32")
+            part = TaskContext.get().partitionId() % PARTS
+            sums = np.stack([count, total, total.T, square, square.T, cross])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(at[a]),
-                    pa.array(at[b]),
-                    pa.array(count[a, b]),
-                    pa.array(total[a, b]),
-                    pa.array(total[b, a]),
-                    pa.array(square[a, b]),
-                    pa.array(square[b, a]),
-                    pa.array(cross[a, b]),
+                    pa.array(np.asarray(indices[:-1], dtype="int32")),
+                    pa.array(np.full(k - 1, part, dtype="int32")),
+                    pa.array([sums[:, a, a + 1 :].tobytes() for a in range(k - 1)], pa.binary()),
                 ],
-                names=["i", "j", "n", "sum_left", "sum_right", "square_left", "square_right", "cross"],
+                names=["i", "part", "sums"],
             )
 
     return run
 
 
+def _merge(indices: list[int], names: Sequence[str] | None):
+    """Add up the packed sums of a left column: packed again, or one row per right column with ``names``."""
+
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        left = table["i"][0].as_py()
+        added = sum(np.frombuffer(x, dtype="float64") for x in table["sums"].to_pylist())
+        if names is None:
+            return pa.table({"i": pa.array([left], pa.int32()), "sums": pa.array([added.tobytes()], pa.binary())})
+        right = np.asarray(indices[indices.index(left) + 1 :], dtype="int32")
+        columns = dict(zip(names, added.reshape(len(names), -1)))
+        return pa.table({"i": np.full(len(right), left, dtype="int32"), "j": right, **columns})
+
+    return run
+
+
 def target_correlation(df: DataFrame, columns: Sequence[str], *, target: str = "target") -> DataFrame:
     """(column, correlation): absolute Pearson with the target, NULL where undefined."""
     columns = [c for c in columns if c != target]

@@ -8,10 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tabloom.functions.columns import quoted, value
-from tabloom.functions.lineage import materialize
+from tabloom.functions.lineage import materialize, new_path
 from tabloom.functions.wide import aggregate_row, small_table
 from tabloom.operators.clean import fit_fill_values
 from tabloom.operators.target import add_class_weight, class_weights
@@ -68,6 +68,7 @@ def tree_importance(
     )
     # Every boosting round reads this table several times.
     vectors = materialize(vectors, "tree-input")
+    _cut_boosting_lineage(train.sparkSession)
     model = GBTClassifier(
         featuresCol="_features",
         labelCol="_label",
@@ -84,6 +85,13 @@ def tree_importance(
     ).orderBy(F.desc("importance"), "column")
 
 
+def _cut_boosting_lineage(spark: SparkSession) -> None:
+    """Let the booster write checkpoints, which it does every few rounds if its context has a folder."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(new_path(spark, "boosting"))
+
+
 def stratified_sample(df: DataFrame, size: int, *, target: str = "target", seed: int = 42) -> DataFrame:
     """``size`` rows with the class shares of ``df``; all rows when there are no more.
 
@@ -147,6 +155,8 @@ def permutation_importance(
     columns = list(columns)
     inputs = Inputs.fit(train, columns)
     sampled = stratified_sample(train.select(*[quoted(c) for c in [target, *columns]]), sample_size, target=target, seed=seed)
+    # Drawn once: both the weights and the rows come from it.
+    sampled = materialize(sampled, "permutation-rows")
     weights = {r["class"]: r["weight"] for r in class_weights(sampled, target=target).collect()}
     rows = add_class_weight(inputs.apply(sampled, target), weights, target=target, name="_weight")
     numbered = materialize(

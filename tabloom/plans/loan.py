@@ -7,6 +7,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 
+from tabloom.functions.lineage import materialize
 from tabloom.operators import clean
 from tabloom.operators.encode import align_columns, encode_categoricals, fit_encoding
 from tabloom.operators.features import Feature, add_features
@@ -276,9 +277,10 @@ def fit_preparation(
 ) -> Preparation:
     """Learn the chain on a train slice that has its formats parsed and leaking columns dropped.
 
-    Each fit is a handful of aggregates over projections of ``train``, so nothing is
-    cached: the scans read only the columns a fit asks for.
+    The fits read the slice and its features many times, so both are written once to the
+    shared folder: dates and percents are parsed once, and scans read the columns they need.
     """
+    train = materialize(train, "preparation-train")
     lists = missing_strategies(train)
     wanted = [*lists["flag"], *lists["fill"]]
     prep = Preparation(
@@ -297,7 +299,7 @@ def fit_preparation(
     prep.bounds = clean.fit_clip_bounds(filled, clip, rules=limits)
     clipped = clean.clamp_domain(clean.clip_outliers(filled, prep.bounds), limits)
     prep.shifts = clean.fit_log_shift(clipped, logs)
-    featured = clean.log1p_columns(build_features(clipped), prep.shifts)
+    featured = materialize(clean.log1p_columns(build_features(clipped), prep.shifts), "preparation-features")
     prep.encoding = fit_encoding(featured, rules)
     encoded = clean.replace_infinite(encode_categoricals(featured, prep.encoding))
     prep.medians = clean.fit_numeric_medians(encoded)

@@ -192,3 +192,16 @@ def test_infinite_values(spark):
     assert row["pairs"] == 4 and row["correlation"] == pytest.approx(finite.corr().loc["x", "y"])
     scores = {r["column"]: r["correlation"] for r in target_correlation(df, ["x", "y"]).collect()}
     assert scores["x"] == pytest.approx(abs(finite.corr().loc["x", "target"]))
+
+
+def test_correlation_of_many_columns(spark):
+    rng = np.random.default_rng(4)
+    data = pd.DataFrame(rng.normal(size=(60, 300)), columns=[f"c{i}" for i in range(300)])
+    data.iloc[::7, 5] = np.nan
+    data["c299"] = data["c0"] * 2
+    rows = correlation_table(spark.createDataFrame(data).repartition(4), list(data)).collect()
+    assert [(r["left"], r["right"]) for r in rows[:2]] == [("c0", "c1"), ("c0", "c2")]
+    want = data.corr().to_numpy()
+    got = np.array([r["correlation"] for r in rows])
+    assert len(rows) == 300 * 299 // 2
+    assert np.allclose(got, want[np.triu_indices(300, 1)], atol=1e-9)
