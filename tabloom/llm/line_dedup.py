@@ -37,13 +37,13 @@ def line_templates(
 
     A line descends by its number of words and its leading words (digits masked) to a leaf. Within a
     leaf a word at a place is fixed if the leaf's lines have it there in at least `min_documents`
-    documents; any other is a variable field. Lines: doc_id, line_no, template, is_first. Templates:
+    documents; any other is a variable field. Single spaces part words. Lines: doc_id, line_no, template, is_first. Templates:
     template, documents. A document counts once for a line, however often it has it.
     """
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.select("doc_id", "line_no", masked(F.col("line")).alias("line"))
-    words = F.split("line", " +")
+    words = F.split("line", " ")
     leading = [F.get(words, F.lit(i)) for i in range(LEADING_WORDS)]
     lines = lines.where("line != ''").withColumn("n", F.size(words)).where(F.col("n") >= min_words)
     lines = lines.withColumn("leaf", F.xxhash64("n", *leading))
@@ -56,23 +56,24 @@ def line_templates(
 
     in_documents = kept.select("leaf", "line", "doc_id").distinct()
     distinct = in_documents.groupBy("leaf", "line").agg(F.count("*").alias("documents"))
-    distinct = materialize(distinct, "distinct-lines")
+    # Its words are shuffled with the number of a line and not with its text.
+    distinct = materialize(distinct.withColumn("line_id", F.monotonically_increasing_id()), "distinct-lines")
     placed = distinct.select(
-        "leaf", "line", "documents", F.posexplode(F.split("line", " +")).alias("place", "word")
+        "leaf", "line_id", "documents", F.posexplode(F.split("line", " ")).alias("place", "word")
     )
     fixed = placed.groupBy("leaf", "place", "word").agg(F.sum("documents").alias("support"))
     fixed = materialize(fixed.where(F.col("support") >= min_documents), "fixed-words")
     marked = join_groups(placed, fixed, ["leaf", "place", "word"], "support", total, "left")
     part = F.struct("place", F.when(F.col("support").isNull(), F.lit(FIELD)).otherwise(F.col("word")).alias("part"))
-    templates = marked.groupBy("leaf", "line").agg(
-        F.max("documents").alias("documents"),
+    templates = marked.groupBy("line_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda x: x["part"]), " ").alias("template"),
         F.avg(F.when(F.col("support").isNull(), 0.0).otherwise(1.0)).alias("fixed"),
     )
-    templates = materialize(templates.where(F.col("fixed") >= fixed_share), "line-templates")
+    templates = templates.where(F.col("fixed") >= fixed_share).join(distinct, "line_id")
+    templates = materialize(templates.select("leaf", "line", "documents", "template"), "line-templates")
 
     found = join_groups(
-        kept, templates.select("leaf", "line", "documents", "template"), ["leaf", "line"], "documents", total
+        kept, templates, ["leaf", "line"], "documents", total
     ).select("doc_id", "line_no", "template")
     found = materialize(found, "template-lines")
     counts = found.select("template", "doc_id").distinct().groupBy("template").agg(F.count("*").alias("documents"))
@@ -116,7 +117,7 @@ ORACLE = f"""
             trim(regexp_replace(string_split(text, chr(10))[i], '[0-9]+', '0', 'g')) AS line
         FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(i)
     ), split AS (
-        SELECT *, string_split_regex(line, ' +') AS words FROM lines WHERE line != ''
+        SELECT *, string_split(line, ' ') AS words FROM lines WHERE line != ''
     ), leaves AS (
         SELECT doc_id, line_no, line, words, len(words) || ' ' || array_to_string(words[1:{LEADING_WORDS}], ' ') AS leaf
         FROM split WHERE len(words) >= {MIN_WORDS}
