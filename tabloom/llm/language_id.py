@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from tabloom.functions.lineage import materialize
 from tabloom.llm.common import U64, append_columns, small
 
-#: Documents of each language, taken by a hash of their id, that the piece probabilities are fitted on.
-TRAIN_DOCUMENTS = 1_500
+#: Documents of each language, taken by a hash of their id, that the piece probabilities are fitted on. Up to a
+#: thousand Spark limits each task to its first ones before the shuffle, so that no language is a hot key.
+TRAIN_DOCUMENTS = 1_000
 #: Rounds of expectation-maximisation.
 ROUNDS = 3
 #: Letters after which a longer word is scored in parts, so that no probability runs out of range.
