@@ -25,14 +25,14 @@ HEAVY_SHARE = 0.001
 U64 = np.uint64
 
 
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether a table has at most so many rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame) -> bool:
+    """Whether a table has at most SMALL_ROWS rows; reads no more than that."""
+    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
 
 
-def maybe_broadcast(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame) -> DataFrame:
     """The table with a broadcast hint if its rows are few; else Spark joins by shuffle."""
-    return F.broadcast(df) if is_small(df, rows) else df
+    return F.broadcast(df) if is_small(df) else df
 
 
 def join_groups(
@@ -40,9 +40,12 @@ def join_groups(
 ) -> DataFrame:
     """Join rows to one row per group, without a hot key in any task.
 
-    Groups that hold at least HEAVY_SHARE of all rows are at most 1 / HEAVY_SHARE many and go by
-    broadcast; every other key is small enough for a shuffle. `how` is inner or left.
+    Few groups go by broadcast. Of many, those that hold at least HEAVY_SHARE of all rows are at most
+    1 / HEAVY_SHARE and go by broadcast; every other key is small enough for a shuffle. `how` is inner
+    or left.
     """
+    if is_small(groups):
+        return rows.join(F.broadcast(groups), keys, how)
     is_heavy = F.col(size) >= max(2, int(total * HEAVY_SHARE))
     heavy = F.broadcast(groups.where(is_heavy))
     hot = rows.join(heavy, keys, "inner")

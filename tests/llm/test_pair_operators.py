@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tabloom.llm import exact_dedup, line_dedup, minhash, queries, substring_dedup
+from tabloom.llm import common, exact_dedup, line_dedup, minhash, queries, substring_dedup
 from tabloom.llm.common import connected_components
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,7 +33,9 @@ def components(nodes, links):
     return {n: find(n) for n in nodes}
 
 
-def test_exact(spark, documents, empty, tricky):
+@pytest.mark.parametrize("small", [200_000, 1])
+def test_exact(spark, documents, empty, tricky, monkeypatch, small):
+    monkeypatch.setattr(common, "SMALL_ROWS", small)
     rows = {r["doc_id"]: r for r in exact_dedup.exact_duplicates(documents).collect()}
     text = {i: lower(t or "") for i, t, *_ in tricky}
     for doc_id, own in text.items():
@@ -75,7 +77,9 @@ def test_quotient_filters_merge_without_loss():
     assert [(q << 56) + r for q, own in sliced for r in own] == merged.remainders.tolist()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [200_000, 3])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr(common, "SMALL_ROWS", small)
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 103), (7, 7)]
     star = [(200, i) for i in range(201, 260)]
     df = spark.createDataFrame(chain + star, "a long, b long")
@@ -85,8 +89,9 @@ def test_components(spark):
     assert connected_components(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_near_duplicates(spark, documents, empty, tricky, words, size):
+@pytest.mark.parametrize(("size", "small"), [(2, 200_000), (5, 1)])
+def test_near_duplicates(spark, documents, empty, tricky, words, monkeypatch, size, small):
+    monkeypatch.setattr(common, "SMALL_ROWS", small)
     base = words(900, 150).split()
     copies = []
     for k in range(40):
