@@ -10,7 +10,9 @@ from tabloom.llm.common import join_groups, maybe_broadcast
 
 #: Documents in which a template must occur to be recurring.
 MIN_DOCUMENTS = 10
-#: Words of the shortest line that is looked at.
+#: Words of the shortest line that may have fields; of a shorter one all words must be equal.
+FIELD_WORDS = 4
+#: Words of the shortest line that the SQL twin looks at. The operator looks at all.
 MIN_WORDS = 4
 #: Leading words that, with the number of words, lead to a leaf of the tree.
 LEADING_WORDS = 2
@@ -18,6 +20,8 @@ LEADING_WORDS = 2
 FIXED_SHARE = 0.5
 
 FIELD = "<*>"
+#: Anything but white space.
+INK = r"[^\s\p{Z}]"
 
 
 def masked(line: Column) -> Column:
@@ -30,23 +34,26 @@ def line_templates(
     doc_id: str = "doc_id",
     text: str = "text",
     min_documents: int = MIN_DOCUMENTS,
-    min_words: int = MIN_WORDS,
+    min_words: int = 1,
     fixed_share: float = FIXED_SHARE,
 ) -> tuple[DataFrame, DataFrame]:
     """The lines that have a recurring template, and the templates.
 
     A line descends by its number of words and its leading words (digits masked) to a leaf. Within a
     leaf a word at a place is fixed if the leaf's lines have it there in at least `min_documents`
-    documents; any other is a variable field. Single spaces part words. Lines: doc_id, line_no, template, is_first. Templates:
+    documents; any other is a variable field. Lines of under FIELD_WORDS words descend by all of their
+    words and have no field; of white space alone they are not looked at. Single spaces part words. Lines of
+    under `min_words` words are left out. Lines: doc_id, line_no, template, is_first. Templates:
     template, documents. A document counts once for a line, however often it has it.
     """
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.select("doc_id", "line_no", masked(F.col("line")).alias("line"))
     words = F.split("line", " ")
-    leading = [F.get(words, F.lit(i)) for i in range(LEADING_WORDS)]
+    path = F.slice(words, 1, F.when(F.col("n") < FIELD_WORDS, F.col("n")).otherwise(F.lit(LEADING_WORDS)))
     lines = lines.where("line != ''").withColumn("n", F.size(words)).where(F.col("n") >= min_words)
-    lines = lines.withColumn("leaf", F.xxhash64("n", *leading))
+    lines = lines.where((F.col("n") >= FIELD_WORDS) | F.col("line").rlike(INK))
+    lines = lines.withColumn("leaf", F.xxhash64("n", path))
 
     # A leaf of few lines has no recurring template: most lines end here, as two numbers each.
     full = lines.groupBy("leaf").agg(F.count("*").alias("c")).where(F.col("c") >= min_documents)
@@ -68,8 +75,10 @@ def line_templates(
     templates = marked.groupBy("line_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda x: x["part"]), " ").alias("template"),
         F.avg(F.when(F.col("support").isNull(), 0.0).otherwise(1.0)).alias("fixed"),
+        F.count("*").alias("n"),
     )
-    templates = templates.where(F.col("fixed") >= fixed_share).join(distinct, "line_id")
+    least = F.when(F.col("n") < FIELD_WORDS, 1.0).otherwise(fixed_share)
+    templates = templates.where(F.col("fixed") >= least).join(distinct, "line_id")
     templates = materialize(templates.select("leaf", "line", "documents", "template"), "line-templates")
 
     found = join_groups(
@@ -93,8 +102,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **opt
     """Every row with the lines of recurring templates taken out of its text, plus dropped_lines.
 
     The first line of each template (smallest doc_id, then smallest line number) stays. Lines are cut at
-    \\n; blank lines and lines of under four words always stay, as do all lines of rows without a
-    doc_id. A NULL text stays NULL. Rows that repeat a doc_id lose the same line numbers. Other columns
+    \\n; blank lines always stay, as do all lines of rows without a doc_id. A NULL text stays NULL. Rows that repeat a doc_id lose the same line numbers. Other columns
     are kept, but for one with the name of the new column. Options are those of line_templates().
     """
     hits, _ = line_templates(df.where(F.col(doc_id).isNotNull()), doc_id, text, **options)

@@ -193,6 +193,43 @@ def test_lines(spark, documents, empty, tricky):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_short_lines(spark):
+    """Lines of one to three words go like longer ones; those of too few documents and blank ones stay."""
+    texts = {i: f"own{i}x{'y' * i}\nAll rights reserved.\n\r\n\u00a0\nPage {i}\nEnd." for i in range(12)}
+    texts |= {i: t + "\nBelow it" for i, t in texts.items() if i < 9}
+    texts |= {20 + i: f"Seen by {'z' * (i + 1)}\nSeen by {'z' * (i + 1)}" for i in range(15)}
+    texts |= {40: "All rights reserved!\nAll rights\nrights reserved. All\nALL RIGHTS RESERVED."}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    rows = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+    gone = ("All rights reserved.", "Page 0", "End.")
+    for doc_id, old in texts.items():
+        lines = old.split("\n")
+        left = [x for x in lines if not 0 < doc_id < 12 or re.sub("[0-9]+", "0", x) not in gone]
+        assert rows[doc_id]["text"] == "\n".join(left) and rows[doc_id]["dropped_lines"] == len(lines) - len(left)
+
+
+def test_short_lines_of_the_tables(spark):
+    """Beyond what the SQL twin drops, which leaves short lines out, just the recurring short ones go."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    shown = line_dedup.dedup_lines(docs, min_words=line_dedup.MIN_WORDS)
+    twin = compare.database(sf_dir).execute(line_dedup.ORACLE)
+    names = [d[0] for d in twin.description]
+    assert compare.canonical(shown.columns, shown.collect()) == compare.canonical(names, twin.fetchall())
+    places = {}
+    for r in docs.collect():
+        for i, line in enumerate((r["text"] or "").split("\n")):
+            line = re.sub("[0-9]+", "0", line).strip(" ")
+            if line.strip() and line.count(" ") < 3:
+                places.setdefault(line, []).append((r["doc_id"], i))
+    recurring = [sorted(p) for p in places.values() if len({d for d, _ in p}) >= line_dedup.MIN_DOCUMENTS]
+    want = Counter(d for p in recurring for d, _ in p[1:])
+    assert want
+    want.update({r["doc_id"]: r["dropped_lines"] for r in shown.collect()})
+    got = {r["doc_id"]: r["dropped_lines"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == dict(want)
+
+
 def test_lines_run_no_python(spark, documents, capsys):
     line_dedup.dedup_lines(documents).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
