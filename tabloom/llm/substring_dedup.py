@@ -23,6 +23,8 @@ CHUNK_WORDS = 5
 CHUNK_BYTES = 2048
 #: Documents of a batch in which a chunk must occur for its places to go apart from those of others.
 FREQUENT_DOCUMENTS = 8
+#: Bits of the map that tells chunks which cannot be frequent from the others.
+MAP_BITS = 24
 #: Words that consecutive repeated chunks must have together to count as a repeated passage.
 PASSAGE_WORDS = 16
 #: Of these, words that must have been in one and the same earlier document.
@@ -78,10 +80,33 @@ def chunk_ends(texts: list[bytes]) -> list[np.ndarray]:
 _ENTRIES = "digest long, first_doc long, frequent boolean, docs array<long>, starts array<int>, ends array<int>"
 
 
-def _chunks(df: DataFrame, doc_id: str, text: str, frequent_ones: bool) -> DataFrame:
+def _bits(digest: np.ndarray) -> list[np.ndarray]:
+    """The two bits of each digest in a map of digests."""
+    value = digest.view(np.uint64)
+    return [(value >> np.uint64(at)) & np.uint64((1 << MAP_BITS) - 1) for at in (0, 64 - MAP_BITS)]
+
+
+def _digest_map(digests: DataFrame) -> np.ndarray:
+    """A map of fixed size in which each of the digests has its bits set, packed eight to a byte."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << MAP_BITS, dtype=bool)
+        for batch in batches:
+            for at in _bits(batch.column(0).to_numpy(zero_copy_only=False)):
+                bits[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+    out = np.zeros(1 << MAP_BITS >> 3, dtype=np.uint8)
+    for row in digests.select("digest").coalesce(32).mapInArrow(run, "bits binary").toLocalIterator():
+        out |= np.frombuffer(row["bits"], dtype=np.uint8)
+    return out
+
+
+def _chunks(df: DataFrame, doc_id: str, text: str, wanted: np.ndarray | None = None) -> DataFrame:
     """One row for each distinct chunk of a batch, with its places there.
 
-    With `frequent_ones` only chunks in many documents of the batch; else all, those without their places.
+    Without `wanted` all chunks, those in many documents of the batch without their places; with it all
+    that have their bits in that map, with their places, whatever they are in this batch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,9 +135,12 @@ def _chunks(df: DataFrame, doc_id: str, text: str, frequent_ones: bool) -> DataF
             first = np.flatnonzero(new_value)
             places = np.diff(np.append(first, len(values)))
             frequent = np.bincount(np.cumsum(new_value)[new_doc] - 1, minlength=len(first)) >= FREQUENT_DOCUMENTS
-            with_places = frequent == frequent_ones
+            if wanted is None:
+                with_places, rows = ~frequent, np.ones(len(first), dtype=bool)
+            else:
+                low, high = (wanted[x >> np.uint64(3)] >> (7 - (x & np.uint64(7))) & 1 for x in _bits(values[first]))
+                with_places = rows = (low & high).astype(bool)
             shown = np.repeat(with_places, places)
-            rows = with_places if frequent_ones else np.ones(len(first), dtype=bool)
             bounds = pa.array(np.append(0, np.cumsum((places * with_places)[rows])).astype(np.int32))
             lists = [docs[shown], starts[shown].astype(np.int32), ends[shown].astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
@@ -133,14 +161,16 @@ def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """doc_id, start, end (bytes), owner of each chunk that a document with a smaller doc_id has too.
 
     The owner is the document with the smallest doc_id. Tasks send a row for each distinct chunk of a
-    batch. Rows of a digest then stand next to each other in a sorted partition; they are read as a
-    stream, and only those of digests with several documents are written. A chunk that is frequent in a
-    batch, and might fill the corpus, goes there without its places: they come from a second scan and
-    meet their owner in a join that keeps hot keys apart.
+    batch. Rows of a digest then stand next to each other in a sorted partition, those of batches in
+    which it is frequent first; they are read as a stream, and only those of digests with several
+    documents are written. A chunk that is frequent in any batch, and might fill the corpus, is written
+    without its places: all of them come from a second scan and meet their owner in a join that keeps
+    hot keys apart. Only the written table of the first scan decides, so batches may differ between them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner: tuple[int | None, int] = (None, 0)  # digest at the end of the batch before, its first document
+        # Digest at the end of the batch before, its first document, and whether it is frequent.
+        owner: tuple[int | None, int, bool] = (None, 0, False)
         for batch in batches:
             digest, first = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             if not len(digest):
@@ -148,32 +178,34 @@ def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             new = np.append(digest[0] != owner[0], digest[1:] != digest[:-1])
             heads = np.maximum.accumulate(np.where(new, np.arange(len(digest)), -1))
             owners = np.where(heads >= 0, first[heads], owner[1])
-            owner = int(digest[-1]), int(owners[-1])
+            frequent = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), dtype=bool)
+            often = np.where(heads >= 0, frequent[heads], owner[2])
+            owner = int(digest[-1]), int(owners[-1]), bool(often[-1])
             lists = [batch.column(i) for i in (3, 4, 5)]
             sizes = np.diff(lists[0].offsets.to_numpy())
             docs, starts, ends = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
             each = np.repeat(owners, sizes)
-            other = docs != each
+            other = (docs != each) & ~np.repeat(often, sizes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[other]) for x in (docs, starts, ends, each)] + [pa.nulls(int(other.sum()), pa.int64())],
                 names=["doc_id", "start", "end", "owner", "digest"],
             )
-            often = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), dtype=bool)
             none = [pa.nulls(int(often.sum()), t) for t in (pa.int64(), pa.int32(), pa.int32())]
             yield pa.RecordBatch.from_arrays(
-                [*none, pa.array(owners[often]), pa.array(digest[often])],
+                [*none, pa.array(first[often]), pa.array(digest[often])],
                 names=["doc_id", "start", "end", "owner", "digest"],
             )
 
-    sorted_rows = _chunks(df, doc_id, text, frequent_ones=False)
-    sorted_rows = sorted_rows.repartition("digest").sortWithinPartitions("digest", "first_doc")
+    sorted_rows = _chunks(df, doc_id, text).repartition("digest")
+    sorted_rows = sorted_rows.sortWithinPartitions("digest", F.desc("frequent"), "first_doc")
     found = materialize(
         sorted_rows.mapInArrow(run, "doc_id long, start int, end int, owner long, digest long"), "repeated-chunks"
     )
     spans = found.where("doc_id is not null").select("doc_id", "start", "end", "owner")
     owners = found.where("digest is not null").groupBy("digest")
     owners = materialize(owners.agg(F.min("owner").alias("owner"), F.count("*").alias("n")), "frequent-chunks")
-    frequent = materialize(_chunks(df, doc_id, text, frequent_ones=True).drop("first_doc", "frequent"), "frequent-places")
+    frequent = _chunks(df, doc_id, text, _digest_map(owners)).drop("first_doc", "frequent")
+    frequent = materialize(frequent, "frequent-places")
     placed = join_groups(frequent, owners, ["digest"], "n", frequent.count())
     places = F.explode(F.arrays_zip("docs", "starts", "ends"))
     placed = placed.select("owner", places.alias("p")).select(

@@ -155,6 +155,34 @@ def test_passages(spark, documents, empty, tricky, words):
     assert substring_dedup.dedup_passages(empty).count() == 0
 
 
+@pytest.mark.parametrize("cuts", [(1, 12), (12, 1), (2, 3), (3, 2), (2, 1), (1, 2)])
+def test_places_when_batches_differ(spark, words, monkeypatch, cuts):
+    """The second scan may form other batches than the first."""
+    passage = words(21, 60)
+    rows = [(i, f"{words(400 + i, 30)}\n{passage}\n{words(500 + i, 20)}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks, scans = substring_dedup._chunks, list(cuts)
+
+    def spans():
+        found = substring_dedup.repeated_chunks(df).collect()
+        return Counter((r["doc_id"], r["start"], r["end"], r["owner"]) for r in found)
+
+    def other_batches(frame, *args, **options):
+        parts = spark.createDataFrame(rows[:0], frame.schema)
+        n = scans.pop(0)
+        bounds = [0, 9, 12] if n == 2 else [12 * i // n for i in range(n + 1)]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            parts = parts.union(frame.where(f"doc_id >= {a} and doc_id < {b}").coalesce(1))
+        return chunks(parts, *args, **options)
+
+    monkeypatch.setattr(substring_dedup, "FREQUENT_DOCUMENTS", 1000)
+    want = spans()
+    monkeypatch.setattr(substring_dedup, "FREQUENT_DOCUMENTS", 8)
+    monkeypatch.setattr(substring_dedup, "_chunks", other_batches)
+    assert len({d for d, *_ in want}) == 11 and max(want.values()) == 1
+    assert spans() == want and not scans
+
+
 def test_gear_hash_rolls():
     data = np.frombuffer("the quick brown fox jumps".encode() * 3, dtype=np.uint8)
     h, got = 0, []
