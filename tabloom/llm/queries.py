@@ -13,6 +13,7 @@ from tabloom.llm import (
     language_id,
     license_scan,
     line_dedup,
+    merkle,
     minhash,
     packing,
     quality_rules,
@@ -93,6 +94,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = documents(spark, sf_dir, *columns)
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    proven = merkle.audit(docs, columns, lambda text: F.replace(text, F.lit("\n"), F.lit("")), chosen)
+    return proven.drop("proof")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
@@ -104,10 +113,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
+    "op11_merkle": merkle.ORACLE,
     "op2_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
