@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.functions.lineage import new_path
 from tabloom.llm import (
     exact_dedup,
     html_extract,
@@ -19,6 +20,7 @@ from tabloom.llm import (
     quality_rules,
     sentencepiece_codec,
     substring_dedup,
+    warc,
 )
 from tabloom.llm.common import ship_package
 
@@ -102,6 +104,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proven.drop("proof")
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    archive = new_path(spark, "warc")
+    warc.write_warc(pages, archive, min_bytes=0)
+    captures = warc.assemble(warc.read_records(spark, archive, with_payload=False))
+    return captures.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("referred.page_id").alias("refers_to")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
@@ -114,11 +126,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
     "op11_merkle": op11_merkle,
+    "op12_warc": op12_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
     "op11_merkle": merkle.ORACLE,
+    "op12_warc": warc.ORACLE,
     "op2_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
