@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.lineage import new_path
 from tabloom.llm import (
+    alignment,
     exact_dedup,
     html_extract,
     language_id,
@@ -114,6 +115,11 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, pieces = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.link_statistics(documents(spark, sf_dir), byte_level, pieces)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_merkle": op11_merkle,
     "op12_warc": op12_warc,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
