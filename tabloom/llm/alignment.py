@@ -17,7 +17,8 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,12 @@ from tabloom.llm.sentencepiece_codec import check_model, split_chunks
 MARK = "▁"
 #: A tokens after which a lane ends at the next common end.
 LANE = 1024
-#: Where the pre-tokens of a text depend on more than the text behind a single space.
-_BLANKS = re.compile(r"\s ")
+#: Bytes of text in a block; what a task makes of one stays a small multiple.
+BLOCK_BYTES = 2 << 20
+# Fixed value: how byte-level vocabularies of this kind split a text before they merge.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose kind newer tables of characters may change, and blanks on which a backtracking splitter stumbles.
+_SLOW = re.compile("[^\x00-\u024f\u2010-\u2026]|\\s{500}")
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -53,10 +58,11 @@ def piece_bytes(piece: str) -> bytes:
 
 
 class Tokenizers:
-    """Both tokenizers with tables of distinct words, and the byte lengths of their tokens."""
+    """Both tokenizers and the byte lengths of their tokens; B has a table of distinct words."""
 
-    def __init__(self, byte_level: str, pieces: str, limit: int = 250_000):
+    def __init__(self, byte_level: str, pieces: str, limit: int = 150_000):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(byte_level)
@@ -64,24 +70,31 @@ class Tokenizers:
         signs = _byte_of_sign()
         with open(byte_level) as file:
             settings = json.load(file)
-        splitter = settings["pre_tokenizer"]
+        splitter, words = settings["pre_tokenizer"], settings["model"]["vocab"]
         if settings["normalizer"] or splitter["type"] != "ByteLevel" or splitter["add_prefix_space"]:
             raise ValueError("tokenizer A is not a plain byte-level BPE")
-        words = settings["model"]["vocab"]
         self.a_length = np.zeros(max(words.values()) + 1, dtype=np.int64)
-        for word, i in words.items():
-            self.a_length[i] = len(word) if all(c in signs for c in word) else 0
+        ranks = {bytes(map(signs.__getitem__, w)): i for w, i in words.items() if all(c in signs for c in w)}
+        for word, i in ranks.items():
+            self.a_length[i] = len(word)
+        # Merging by the rank of the result equals merging by listed pairs if every token is what its bytes merge to.
+        self.by_rank = None
+        if all([t.id for t in self.coder.model.tokenize(w)] == [i] for w, i in words.items() if self.a_length[i]):
+            self.by_rank = tiktoken.Encoding("a", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.processor = sentencepiece.SentencePieceProcessor(model_file=pieces)
         check_model(self.processor)
         count = self.processor.get_piece_size()
         self.b_bytes = [piece_bytes(self.processor.id_to_piece(i)) for i in range(count)]
         self.b_length = np.array([len(b) for b in self.b_bytes], dtype=np.int64)
         self.lone = self.processor.piece_to_id(MARK)
-        self.a_table = ChunkTable(lambda chunks: [self.a_ids(c) for c in chunks], limit)
         self.b_table = ChunkTable(self.b_ids, limit)
 
     def a_ids(self, text: str) -> list[int]:
-        return self.coder.encode(" " + text, add_special_tokens=False).ids
+        if not text:
+            return []
+        if self.by_rank is None or _SLOW.search(text):
+            return self.coder.encode(" " + text, add_special_tokens=False).ids
+        return self.by_rank.encode_ordinary(" " + text)
 
     def b_ids(self, chunks: list[str]) -> list[list[int]]:
         """Ids of chunks; -1 behind those whose pieces do not spell the chunk."""
@@ -95,14 +108,10 @@ class Tokenizers:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and where each document starts, the same of B; documents that do not align have none."""
         texts = [t if t and MARK not in t else "" for t in texts]
-        chunks = [split_chunks(t) for t in texts]
-        whole = {i for i, t in enumerate(texts) if t[:1] == " " or _BLANKS.search(t)}
-        a, a_at = self.a_table.ids([[] if i in whole else c for i, c in enumerate(chunks)])
-        if whole:
-            parts = [self.a_ids(t) if i in whole else a[a_at[i] : a_at[i + 1]] for i, t in enumerate(texts)]
-            a_at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-            a = np.concatenate([np.asarray(p, dtype=np.int32) for p in parts])
-        b, b_at = self.b_table.ids(chunks)
+        parts = [np.array(self.a_ids(t), dtype=np.int32) for t in texts]
+        a_at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        a = np.concatenate([np.empty(0, dtype=np.int32), *parts])
+        b, b_at = self.b_table.ids([split_chunks(t) for t in texts])
         sizes = np.array([len(t.encode()) + 1 if t else 0 for t in texts], dtype=np.int64)
         odd = _sums(self.a_length[a], a_at) != sizes
         odd |= (_sums(np.where(b < 0, 0, self.b_length[b]), b_at) != sizes) | (_sums(b < 0, b_at) > 0)
@@ -145,33 +154,32 @@ class Alignment:
         """How many of these A positions each document has."""
         return np.bincount(self.document[positions], minlength=len(self.a_at) - 1)
 
-    def group_text(self) -> tuple[bytes, np.ndarray]:
-        """`a1,a2|b1;a3|b2,b3` of all documents with one sign behind each, and where each starts."""
+    def group_digests(self) -> list[str]:
+        """SHA-256 in hex of each document's `a1,a2|b1;a3|b2,b3`; empty for a document without tokens."""
         last_a, last_b = np.zeros(len(self.a), dtype=bool), np.zeros(len(self.b), dtype=bool)
         last_a[self.cut_a], last_b[self.cut_b] = True, True
         # Groups are in the same order on both sides; a token stands behind all tokens of earlier groups.
         ends_a = np.concatenate([[0], np.flatnonzero(last_a) + 1])
-        ends_b = np.concatenate([[0], np.flatnonzero(last_b) + 1])
+        ends_b = np.concatenate([[0], np.flatnonzero(last_b) + 1, [0]])
         to_a = np.arange(len(self.a)) + ends_b[np.cumsum(last_a) - last_a]
-        to_b = np.arange(len(self.b)) + ends_a[np.cumsum(last_b) - last_b + 1] if len(self.b) else np.empty(0, int)
-        ids = np.empty(len(self.a) + len(self.b), dtype=np.int64)
-        signs = np.empty(len(ids), dtype=np.uint8)
-        ids[to_a], ids[to_b] = self.a, self.b
-        signs[to_a], signs[to_b] = np.where(last_a, ord("|"), ord(",")), np.where(last_b, ord(";"), ord(","))
-        numbers = np.arange(ids.max(initial=0) + 1)[:, None]
-        powers = 10 ** np.arange(len(str(len(numbers))) - 1, -1, -1)
-        digits = (numbers // powers % 10 + ord("0")).astype(np.uint8)
-        text = np.concatenate([digits[ids], signs[:, None]], axis=1)
-        kept = np.concatenate([((numbers >= powers) | (powers == 1))[ids], np.ones((len(ids), 1), dtype=bool)], axis=1)
-        ends = np.concatenate([[0], np.cumsum(kept.sum(axis=1))])
-        return text[kept].tobytes(), ends[self.a_at + self.b_at]
+        to_b = np.arange(len(self.b)) + ends_a[np.cumsum(last_b) - last_b + (len(self.b) > 0)]
+        codes = np.empty(len(self.a) + len(self.b), dtype=np.int32)
+        codes[to_a] = self.a * 3 + last_a
+        codes[to_b] = self.b * 3 + 2 * last_b
+        shown = _with_signs(int(codes.max(initial=0)) // 3 + 1).__getitem__
+        at = (self.a_at + self.b_at).tolist()
+        texts = (b"".join(map(shown, codes[x:y].tolist()))[:-1] for x, y in pairwise(at))
+        return [hashlib.sha256(t).hexdigest() if t else "" for t in texts]
 
-    def group_digests(self) -> list[str]:
-        """SHA-256 in hex of each document's groups; empty for a document without tokens."""
-        text, at = self.group_text()
-        view = memoryview(text)
-        spans = zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
-        return [hashlib.sha256(view[x : y - 1]).hexdigest() if y > x else "" for x, y in spans]
+
+@lru_cache(maxsize=None)
+def _numbers(count: int) -> list[bytes]:
+    return [f"{i}{sign}".encode() for i in range(count) for sign in ",|;"]
+
+
+def _with_signs(count: int) -> list[bytes]:
+    """Each number below `count` (a power of two or less) with a comma, a bar and a semicolon behind it."""
+    return _numbers(1 << (count - 1).bit_length())
 
 
 def lanes(a_at: np.ndarray, a_end: np.ndarray, b_end: np.ndarray, lane: int = LANE) -> np.ndarray:
@@ -306,13 +314,13 @@ def block_values(found: Alignment, b_size: int, span: int) -> list[np.ndarray |
 
 
 def _blocks(df: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """One row for each batch of documents of about 4 MB."""
+    """One row for each batch of documents of about 2 MB."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = _tokenizers(byte_level, pieces)
         b_size = len(tokenizers.b_length)
         number = TaskContext.get().partitionId() << 32
-        for batch in small(batches):
+        for batch in small(batches, size=BLOCK_BYTES):
             found = _align(tokenizers, batch.column(1).to_pylist())
             pairs, holders, *values = block_values(found, b_size, b_size * len(tokenizers.a_length))
             columns = [[number], [pairs], [holders], [batch.column(0)], *[[v] for v in values]]
@@ -344,7 +352,7 @@ def link_statistics(df: DataFrame, byte_level: str, pieces: str, doc_id: str = "
     groups_sha256 (of `a1,a2|b1;a3|b2,b3`). Texts without tokens, see align(), have zeros and an empty
     digest. Every row is a document, repeated ones too; other columns are not read. Empty in, empty out.
 
-    Documents stay in blocks of about 4 MB. A block asks once for each distinct pair it holds, so the
+    Documents stay in blocks of about 2 MB. A block asks once for each distinct pair it holds, so the
     shuffle carries pairs of blocks, not of documents, and a pair that every document holds is one row a
     block. Answers meet their block again by its number.
     """
