@@ -202,8 +202,12 @@ _KEPT: dict[tuple, object] = {}
 
 
 def kept_in_worker(key: tuple, make: Callable[[], object]):
-    """What `make` returns, made once in each Python worker, which Spark uses for many tasks."""
+    """What `make` returns, made once in each Python worker, which Spark uses for many tasks.
+
+    A worker keeps one such thing: what an earlier stage needed goes when a later one asks for its own.
+    """
     if key not in _KEPT:
+        _KEPT.clear()
         _KEPT[key] = make()
     return _KEPT[key]
 

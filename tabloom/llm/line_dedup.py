@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.lineage import materialize
-from tabloom.llm.common import join_groups, maybe_broadcast
+from tabloom.llm.common import free_name, join_groups, maybe_broadcast
 
 #: Documents in which a template must occur to be recurring.
 MIN_DOCUMENTS = 10
 #: Words of the shortest line that may have fields; of a shorter one all words must be equal.
 FIELD_WORDS = 4
-#: Words of the shortest line that the SQL twin looks at. The operator looks at all.
-MIN_WORDS = 4
 #: Leading words that, with the number of words, lead to a leaf of the tree.
 LEADING_WORDS = 2
 #: Share of a template's words that must be fixed.
@@ -102,20 +100,23 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **opt
     """Every row with the lines of recurring templates taken out of its text, plus dropped_lines.
 
     The first line of each template (smallest doc_id, then smallest line number) stays. Lines are cut at
-    \\n; blank lines always stay, as do all lines of rows without a doc_id. A NULL text stays NULL. Rows that repeat a doc_id lose the same line numbers. Other columns
-    are kept, but for one with the name of the new column. Options are those of line_templates().
+    \\n; blank lines always stay, as do all lines of rows without a doc_id. A NULL text stays NULL.
+    Rows that repeat a doc_id lose the same line numbers. Other columns are kept, but for one with the name of the new column. Options are those of line_templates().
     """
     hits, _ = line_templates(df.where(F.col(doc_id).isNotNull()), doc_id, text, **options)
-    gone = hits.where(~F.col("is_first")).groupBy(F.col("doc_id").alias("_gone_doc"))
-    gone = gone.agg(F.collect_set("line_no").alias("_gone"))
+    lost, of = free_name(df.columns, "_gone"), free_name(df.columns, "_gone_doc")
+    gone = hits.where(~F.col("is_first")).groupBy(F.col("doc_id").alias(of))
+    gone = gone.agg(F.collect_set("line_no").alias(lost))
     base = df.drop("dropped_lines")
-    joined = base.join(gone, F.col(doc_id) == F.col("_gone_doc"), "left")
+    # A NULL id meets nothing: such rows are spread by their text and not joined in one task.
+    key = F.when(F.col(doc_id).isNull(), -F.abs(F.xxhash64(text)) - 1).otherwise(F.col(doc_id).cast("long"))
+    joined = base.join(gone, (key == F.col(of)) & F.col(doc_id).isNotNull(), "left")
     left = F.array_join(
-        F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n"
+        F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col(lost), i)), "\n"
     )
-    dropped = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
+    dropped = F.when(F.col(lost).isNull(), 0).otherwise(F.size(lost))
     joined = joined.withColumn("dropped_lines", dropped.cast("long"))
-    new_text = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left)
+    new_text = F.when(F.col(lost).isNull(), F.col(text)).otherwise(left)
     return joined.withColumn(text, new_text).select(*base.columns, "dropped_lines")
 
 
@@ -127,8 +128,9 @@ ORACLE = f"""
     ), split AS (
         SELECT *, string_split(line, ' ') AS words FROM lines WHERE line != ''
     ), leaves AS (
-        SELECT doc_id, line_no, line, words, len(words) || ' ' || array_to_string(words[1:{LEADING_WORDS}], ' ') AS leaf
-        FROM split WHERE len(words) >= {MIN_WORDS}
+        SELECT doc_id, line_no, line, words, len(words) || ' ' || array_to_string(
+                words[1:CASE WHEN len(words) < {FIELD_WORDS} THEN len(words) ELSE {LEADING_WORDS} END], ' ') AS leaf
+        FROM split WHERE len(words) >= {FIELD_WORDS} OR regexp_matches(line, '[^\\x09-\\x0D \\p{{Z}}]')
     ), full_leaves AS (
         SELECT leaf FROM leaves GROUP BY leaf HAVING count(*) >= {MIN_DOCUMENTS}
     ), kept AS (
@@ -144,7 +146,8 @@ ORACLE = f"""
             string_agg(CASE WHEN f.leaf IS NULL THEN '{FIELD}' ELSE p.word END, ' ' ORDER BY p.place) AS template
         FROM placed p LEFT JOIN fixed f ON p.leaf = f.leaf AND p.place = f.place AND p.word = f.word
         GROUP BY p.leaf, p.line
-        HAVING avg(CASE WHEN f.leaf IS NULL THEN 0.0 ELSE 1.0 END) >= {FIXED_SHARE}
+        HAVING avg(CASE WHEN f.leaf IS NULL THEN 0.0 ELSE 1.0 END)
+            >= CASE WHEN count(*) < {FIELD_WORDS} THEN 1.0 ELSE {FIXED_SHARE} END
     ), found AS (
         SELECT k.doc_id, k.line_no, t.template FROM kept k JOIN templates t ON k.leaf = t.leaf AND k.line = t.line
     ), recurring AS (

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.lineage import materialize
-from tabloom.llm.common import append_columns, as_bytes, join_groups, mix, small
+from tabloom.llm.common import append_columns, as_bytes, free_name, join_groups, mix, small
 
 #: Bytes that the rolling hash remembers: it has 16 bits and moves by one for each byte.
 WINDOW = 16
 #: A chunk ends after a word with a chance of one in this.
 CHUNK_WORDS = 5
-#: A chunk that has not ended after so many bytes ends there.
+#: A chunk that has not ended after so many bytes ends there, in front of the character that it would cut.
 CHUNK_BYTES = 2048
 #: Documents of a batch in which a chunk must occur for its places to go apart from those of others.
 FREQUENT_DOCUMENTS = 8
@@ -72,11 +72,20 @@ def chunk_ends(texts: list[bytes]) -> list[np.ndarray]:
                 for e, g in zip(ends, gaps, strict=True)
             ]
             ends = np.concatenate(parts).astype(np.int64)
+            ends = np.unique([character_start(text, e) for e in ends.tolist()])
         out.append(ends)
         start += len(text) + WINDOW
     return out
 
 
+def character_start(text: bytes, at: int) -> int:
+    """`at`, or the start of the UTF-8 character that it lies within; at most the end of the text."""
+    at = min(at, len(text))
+    while 0 < at < len(text) and text[at] & 0xC0 == 0x80:
+        at -= 1
+    return at
+
+
 _ENTRIES = "digest long, first_doc long, frequent boolean, docs array<long>, starts array<int>, ends array<int>"
 
 
@@ -246,11 +255,14 @@ def dedup_passages(
     """
     spans = repeated_chunks(df.where(F.col(doc_id).isNotNull()), doc_id, text)
     found = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "owner")).alias("_places"))
-    found = found.withColumnRenamed("doc_id", "_place_doc")
     base = df.drop("removed_spans", "removed_chars")
-    joined = base.join(found, F.col(doc_id) == F.col("_place_doc"), "left").drop("_place_doc")
-    packed = joined.withColumn("_work", F.struct(F.col(text).alias("text"), F.col("_places").alias("places")))
-    packed = packed.drop("_places", text)
+    work, of = free_name(df.columns, "_work"), free_name(df.columns, "_place_doc")
+    found = found.select(F.col("doc_id").alias(of), F.col("_places").alias(work))
+    # A NULL id meets nothing: such rows are spread by their text and not joined in one task.
+    key = F.when(F.col(doc_id).isNull(), -F.abs(F.xxhash64(text)) - 1).otherwise(F.col(doc_id).cast("long"))
+    matched = (key == F.col(of)) & F.col(doc_id).isNotNull()
+    joined = base.join(found, matched, "left").drop(of)
+    packed = joined.withColumn(work, F.struct(F.col(text).alias("text"), F.col(work).alias("places"))).drop(text)
     place = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     fields = [
         T.StructField(text, T.StringType()),
@@ -265,19 +277,20 @@ def dedup_passages(
             out, cut, removed = [], [], []
             for value, own in zip(texts, places, strict=True):
                 going = passages(value or b"", own or [], least_words)
+                # Spans may come from another row with this doc_id.
+                going = [tuple(character_start(value, x) for x in span) for span in going]
                 kept, at = [], 0
                 for a, b in going:
                     kept.append(value[at:a])
                     at = b
                 kept.append(value[at:] if value is not None else b"")
-                new = b"".join(kept).decode("utf-8", "replace") if value is not None else None
-                out.append(value.decode() if value is not None and not going else new)
+                out.append(b"".join(kept).decode() if value is not None else None)
                 cut.append([{"start": a, "end": b} for a, b in going])
-                removed.append(sum(len(value[a:b].decode("utf-8", "replace")) for a, b in going))
+                removed.append(sum(len(value[a:b].decode()) for a, b in going))
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             return [pa.array(out, pa.string()), pa.array(cut, kind), pa.array(removed, pa.int64())]
 
         return work
 
-    result = append_columns(packed, "_work", fields, start).drop("_work")
+    result = append_columns(packed, work, fields, start).drop(work)
     return result.select(*base.columns, "removed_spans", "removed_chars")
