@@ -21,9 +21,13 @@ INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 _FRACTIONAL = (T.DoubleType, T.FloatType)
 
 
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """A column reference that survives dots and spaces in the name."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted_name(name))
 
 
 def is_numeric(df: DataFrame, name: str) -> bool:

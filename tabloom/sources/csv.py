@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tabloom.functions.columns import parse_number, present, quoted
+from tabloom.functions.columns import parse_number, present, quoted, quoted_name
 from tabloom.operators.types import optimize_types
+from tabloom.sources.records import can_split, read_records
 
 _EXTRA = "_extra_field"
 
@@ -64,9 +65,11 @@ def read_csv_table(
     from the kept rows, with ``rows`` from those rows alone. ``decimal`` other than
     "." applies to numeric columns of ``schema``. Values in ``missing`` become NULL
     in every column; with ``()`` only an unquoted empty value is NULL. Quoted line
-    breaks need ``multiline``, which reads each file in one task; plain files can be
-    split with ``multiline=False``. A gzip file is one task to read in any case:
-    its rows are spread over the cores, or over ``partitions``.
+    breaks need ``multiline``: a first scan tells for each byte range whether it starts
+    within quotes, so that a large file is still read by many tasks; with
+    ``multiline=False`` every line is a record and that scan falls away. With ``rows``
+    files are read from their start. Of a compressed file, or one in UTF-16, each is one
+    task to read in any case: its rows are spread over the cores, or over ``partitions``.
     """
     options = _options(sep, encoding, multiline)
     names = _header(spark, path, options)
@@ -75,12 +78,7 @@ def read_csv_table(
     forced = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     raw = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA]])
     # Every value is read as text first: the header check would reject the extra column.
-    text = (
-        spark.read.options(**{**options, "enforceSchema": "true"})
-        .schema(raw)
-        .csv(path)
-        .where(F.col(_EXTRA).isNull())
-    )
+    text = _text(spark, path, raw, options, whole_files=bool(rows)).where(F.col(_EXTRA).isNull())
     if rows:
         text = text.limit(rows)
     wanted = [c for c in names if c in set(columns)] if columns else names
@@ -94,6 +92,17 @@ def read_csv_table(
     return text.select(*[_typed(quoted(c), types[c], decimal).alias(c) for c in wanted])
 
 
+def _text(spark: SparkSession, path: str, schema: T.StructType, options: dict, whole_files: bool) -> DataFrame:
+    """All values as text. Quoted line breaks are found in byte ranges, unless files must be read from their start."""
+    if options["multiLine"] == "true" and not whole_files and can_split(spark, path, options["encoding"]):
+        records = read_records(spark, path, options["sep"], options["encoding"])
+        if records is not None:
+            ddl = ", ".join(quoted_name(n) + " string" for n in schema.fieldNames())
+            return records.select(F.from_csv("record", ddl, options).alias("r")).select("r.*")
+        options = options | {"multiLine": "false"}
+    return spark.read.options(**{**options, "enforceSchema": "true"}).schema(schema).csv(path)
+
+
 def _present_value(col, missing: Sequence[str]):
     return F.when(~col.isin(*missing), col) if missing else col
 
