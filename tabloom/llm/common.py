@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.lineage import materialize
+from tabloom.functions.workers import ship_package as ship_package
 
 #: A side of at most so many short rows may be broadcast.
 SMALL_ROWS = 200_000
@@ -245,20 +243,3 @@ def _star(links: DataFrame, wanted) -> DataFrame:
     sent = out.where(wanted).select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))
     return sent.union(own).where("u != v").distinct()
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers of a session this package, which they may not have installed."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="tabloom-")) / "tabloom_package.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for file in sorted(package.rglob("*.py")):
-            archive.write(file, file.relative_to(package.parent))
-    spark.sparkContext.addPyFile(str(target))
-    _shipped.add(app)
