@@ -62,7 +62,7 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     number = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
     fixed.conf.set("spark.sql.files.minPartitionNum", str(number))
     charset = _ENCODINGS[encoding.lower()]
-    line = F.decode(F.col("value").cast("binary"), F.lit(charset)) if charset else F.make_valid_utf8("value")
+    line = F.decode(F.col("value").cast("binary"), charset) if charset else F.make_valid_utf8("value")
     lines = fixed.read.option("lineSep", "\n").text(path).select(
         # Two of a million files share a 64-bit hash with a chance of one in ten million.
         F.xxhash64("_metadata.file_path").alias("file"),
