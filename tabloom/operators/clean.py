@@ -139,14 +139,54 @@ def parse_percentages(df: DataFrame, columns: Sequence[str], *, divide: bool = F
     return df.withColumns({c: parse(c) for c in names}) if names else df
 
 
+#: How dates may be written, as Spark datetime patterns. Of patterns that fit equally many values the first one counts.
+DATE_FORMATS = (
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm", "yyyy/M/d",
+    "yyyyMMdd", "yyyy-MM", "M/d/yyyy", "M-d-yyyy", "M/d/yyyy HH:mm", "M/d/yyyy HH:mm:ss", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy",
+    "d/M/yyyy HH:mm", "d/M/yyyy HH:mm:ss", "M/yyyy", "MMM-yyyy", "MMM yyyy", "MMMM yyyy", "MMM-yy", "yyyy-MMM", "d-MMM-yyyy",
+    "d MMM yyyy", "d MMMM yyyy", "d-MMM-yy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "yyyy",
+)
+#: Longer text is no date in any of these.
+_DATE_LENGTH = 40
+
+
+def fit_date_formats(
+    train: DataFrame, columns: Sequence[str], *, candidates: Sequence[str] = DATE_FORMATS
+) -> dict[str, str | None]:
+    """The pattern that reads most values of each text column, None if none reads any.
+
+    One grouped aggregate counts the distinct written values of all columns, the patterns are tried on
+    those alone. All rows vote, so neither row order nor a bad first value matters; `01/02/2015` alone
+    cannot tell day from month and takes the earlier candidate, month first.
+    """
+    names = [c for c in present(train, columns) if is_string(train, c)]
+    if not names:
+        return {}
+    written = {c: strip(quoted(c)) for c in names}
+    short = train.select(*[F.when(F.length(w) <= _DATE_LENGTH, w).alias(c) for c, w in written.items()])
+    hits = [
+        F.sum(F.when(F.try_to_timestamp("value", F.lit(p)).isNotNull(), F.col("count")).otherwise(0)).alias(f"p{i}")
+        for i, p in enumerate(candidates)
+    ]
+    rows = value_table(short, names).groupBy("column").agg(*hits).collect()
+    votes = {r["column"]: [r[f"p{i}"] for i in range(len(candidates))] for r in rows}
+    return {c: candidates[votes[c].index(max(votes[c]))] if any(votes.get(c, ())) else None for c in names}
+
+
 def parse_dates(
-    df: DataFrame, columns: Sequence[str], *, reference: str | None = None, format: str | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    *,
+    reference: str | None = None,
+    format: str | Mapping[str, str | None] | None = None,
 ) -> DataFrame:
     """Replace each date column by `{c}_year`, `{c}_month` and, with a reference date,
     `{c}_months_since`: whole days up to the reference, floored, over 30.
 
-    ``format`` is a Spark datetime pattern such as ``MMM-yyyy``. Days are counted on
-    the microsecond difference, so a time of day counts.
+    ``format`` is a Spark datetime pattern such as ``MMM-yyyy``, or one for each column as
+    :func:`fit_date_formats` finds them; a text column without one is read as an ISO date.
+    What the pattern does not read is NULL. Days are counted on the microsecond difference,
+    so a time of day counts.
     """
     names = present(df, columns)
     if not names:
@@ -154,8 +194,10 @@ def parse_dates(
     added: dict[str, Column] = {}
     for c in names:
         text = quoted(c)
+        own = format.get(c) if isinstance(format, Mapping) else format
         if is_string(df, c):
-            when = F.try_to_timestamp(text, F.lit(format)) if format else F.try_to_timestamp(text)
+            text = strip(text) if isinstance(format, Mapping) else text
+            when = F.try_to_timestamp(text, F.lit(own)) if own else F.try_to_timestamp(text)
         else:
             when = text.cast("timestamp")
         added[f"{c}_year"] = F.year(when).cast("float")
@@ -167,6 +209,11 @@ def parse_dates(
     return df.withColumns(added).drop(*names)
 
 
+def infer_dates(df: DataFrame, columns: Sequence[str], *, reference: str | None = None) -> DataFrame:
+    """:func:`parse_dates` with the formats that the table's own values vote for; one job at once."""
+    return parse_dates(df, columns, reference=reference, format=fit_date_formats(df, columns))
+
+
 # --- missing values ---------------------------------------------------------
 
 

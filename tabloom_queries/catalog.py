@@ -20,6 +20,7 @@ from tabloom_queries.stages import (
     FORMATTED_COLUMNS,
     FORMATTED_NUMBERS,
     FORMATTED_STRINGS,
+    REFERENCE_DATE,
     WS,
     pct,
     percent_sql,
@@ -728,6 +729,43 @@ def parse_dates_events(spark, sf):
     return rounded(clean.parse_dates(events, ["ts"], reference="2001-12-01"), 4)
 
 
+# The date of an order in six ways of writing; every 17th value is no date, every 23rd missing.
+WRITTEN = {
+    "month": ("MMM-yyyy", "trunc(o_orderdate, 'MM')", "date_trunc('month', o_orderdate)"),
+    "american": ("M/d/yyyy", "o_orderdate", "o_orderdate"),
+    "european": ("d/M/yyyy", "o_orderdate", "o_orderdate"),
+    "long": ("d MMMM yyyy", "o_orderdate", "o_orderdate"),
+    "compact": ("yyyyMMdd", "o_orderdate", "o_orderdate"),
+    "dotted": ("dd.MM.yyyy", "o_orderdate", "o_orderdate"),
+}
+
+
+def _written_sql(name: str, day: str) -> list[str]:
+    known = f"CASE WHEN o_orderkey % 23 <> 0 AND o_orderkey % 17 <> 0 THEN CAST({day} AS TIMESTAMP) END"
+    gap = f"floor((epoch_us(TIMESTAMP '{REFERENCE_DATE} 00:00:00') - epoch_us({known})) / CAST(86400000000 AS DOUBLE))"
+    return [
+        r(f"year({known})", f"{name}_year"),
+        r(f"month({known})", f"{name}_month"),
+        r(f"CAST({gap} / CAST(30 AS DOUBLE) AS FLOAT)", f"{name}_months_since", 4),
+    ]
+
+
+@query(
+    "SELECT o_orderkey, " + ", ".join(x for n, (_, _, day) in WRITTEN.items() for x in _written_sql(n, day)) + " FROM orders"
+)
+def parse_dates_inferred(spark, sf):
+    """No format is given: the values of each column vote."""
+    orders = stages.table(spark, sf, "orders")
+    texts = [
+        F.expr(
+            f"CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN 'unknown {p}' "
+            f"ELSE concat(' ', date_format({day}, '{p}')) END"
+        ).alias(n)
+        for n, (p, day, _) in WRITTEN.items()
+    ]
+    return rounded(clean.infer_dates(orders.select("o_orderkey", *texts), list(WRITTEN), reference=REFERENCE_DATE), 4)
+
+
 @query(with_stage("labelled", "SELECT id, " + ", ".join(r(percent_sql(c), c) for c in loans.PERCENT_COLUMNS) + " FROM labelled"))
 def parse_percentages(spark, sf):
     raw = stages.labelled(spark, sf).select("id", *loans.PERCENT_COLUMNS)

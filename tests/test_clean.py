@@ -146,3 +146,32 @@ def test_no_nulls_left_after_fill(frame):
 def test_numeric_medians_only_where_needed(frame):
     df = frame([(1.0, 1.0), (None, 2.0), (5.0, 3.0)], "x double, y double")
     assert clean.fit_numeric_medians(df) == {"x": 3.0}
+
+
+WRITTEN = [
+    (["Dec-2015", "Jan-1999"], "MMM-yyyy", (2015.0, 12.0)),
+    (["12/31/2015", "1/2/2016"], "M/d/yyyy", (2015.0, 12.0)),
+    (["31/12/2015", "1/2/2016", "2/2/2016"], "d/M/yyyy", (2015.0, 12.0)),
+    (["31 Dec 2015", "1 feb 2016"], "d MMM yyyy", (2015.0, 12.0)),
+    (["Dec 31, 2015", "MAY 1, 2016"], "MMM d, yyyy", (2015.0, 12.0)),
+    (["2015-12-31 23:59:59", "2015-12-30 00:00:00"], "yyyy-MM-dd HH:mm:ss", (2015.0, 12.0)),
+    (["20151231"], "yyyyMMdd", (2015.0, 12.0)),
+    (["Dec-15"], "MMM-yy", (2015.0, 12.0)),
+    (["2015"], "yyyy", (2015.0, 1.0)),
+    ([" 01/02/2015 "], "M/d/yyyy", (2015.0, 1.0)),
+]
+
+
+@pytest.mark.parametrize(("texts", "pattern", "first"), WRITTEN)
+def test_date_formats_are_voted_for(frame, texts, pattern, first):
+    df = frame([*[(t,) for t in texts], (None,), ("",), ("not a date",), ("x" * 5000,)], "d string").repartition(3)
+    assert clean.fit_date_formats(df, ["d", "absent"]) == {"d": pattern}
+    rows = clean.parse_dates(df.where(df.d == texts[0]), ["d"], format={"d": pattern}).collect()
+    assert (rows[0]["d_year"], rows[0]["d_month"]) == first
+    assert clean.infer_dates(df, ["d"]).where("d_year is null").count() == 4
+
+
+def test_date_formats_of_nothing(frame):
+    assert clean.fit_date_formats(frame([(None,), ("?",)], "d string"), ["d"]) == {"d": None}
+    assert clean.fit_date_formats(frame([], "d string"), ["d"]) == {"d": None}
+    assert clean.fit_date_formats(frame([(1,)], "d int"), ["d"]) == {}
