@@ -1,80 +1,42 @@
-"""Exact quantiles of many columns at once, without holding a column in one task.
+"""Exact quantiles of many columns in two passes, without holding a column in one task.
 
 The builtin exact percentile keeps every distinct value of a column in one
-buffer. Here each wanted order statistic is instead cornered between two values:
-
-1. *Sample*: a bounded sample per column proposes two cut values around each
-   wanted rank. The sample only steers; it never decides a result.
-2. *Count*: one grouped aggregate counts the rows between and on the cuts. The
-   counts are exact, so each rank's open interval (lo, hi) shrinks or the rank
-   is found to sit on a cut. Repeat while an interval holds too many rows.
-   After the first round what lies inside is written to the shared folder, and
-   all further passes read only that: the table itself is read four times at most.
-3. *Pick*: rows inside the remaining intervals, which are known to be few, are
-   grouped by value and a running count over those values names the ranks.
-
-A value shared by a third of all rows is one count in step 2 and one row in
-step 3. Small columns skip straight to step 3.
+buffer. Here each wanted order statistic is cornered between two values:
+
+1. *Sketch*: the first pass counts every column and builds a KLL sketch of it, a few
+   kilobytes a task that merge in two levels. The sketch proposes a value on each side
+   of every wanted rank. It only steers; it never decides a result.
+2. *Count*: the second pass counts the rows between and on these values, exactly, and
+   keeps the distinct values that lie between the two of a rank, with their counts.
+   That table is small and written; nothing later reads the columns again.
+3. *Pick*: a running count over the kept values names the ranks. Many values are sorted
+   over all partitions, whose totals say which partition holds a rank.
+
+A value shared by a third of all rows is one count in every task. If a rank should lie
+outside of its two values, which the margin makes rarer than one in a million, the
+count shows it, and the values of the right cell are read in one pass more.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from bisect import bisect_right
+from collections.abc import Iterable, Sequence
 from fractions import Fraction
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import sql_double, value
 from tabloom.functions.lineage import materialize
-from tabloom.functions.wide import aggregate_row, chunks, small_table
+from tabloom.functions.wide import MAX_EXPRESSIONS, chunks, small_table
 
+# Rows of one interval that a single window may order.
 MAX_INSIDE = 1_000_000
-SAMPLE_ROWS = 200_000
-SKETCH_ACCURACY = 10_000
-COLUMNS_PER_SAMPLE_SCAN = 32
-
-
-@dataclass
-class _Search:
-    """Rank ``rank`` (from 0) lies strictly between ``lo`` and ``hi``.
-
-    ``below`` rows are <= lo and ``upto`` rows are < hi, so ``upto - below`` rows
-    are inside. ``found`` is set once the rank is known to sit on a cut.
-    """
-
-    column: str
-    rank: int
-    lo: float | None
-    below: int
-    hi: float | None
-    upto: int
-    found: float | None = None
-
-    @property
-    def inside(self) -> int:
-        return self.upto - self.below
-
-    def contains(self) -> str:
-        """SQL test for a value inside the interval."""
-        tests = [f"{self.column} IS NOT NULL"]
-        if self.lo is not None:
-            tests.append(f"{self.column} > {sql_double(self.lo)}")
-        if self.hi is not None:
-            tests.append(f"{self.column} < {sql_double(self.hi)}")
-        return " AND ".join(tests)
-
-    def shrink(self, cut: float, less: int, upto: int) -> None:
-        """Use exact counts of rows < cut and <= cut."""
-        if self.found is not None:
-            return
-        if less <= self.rank < upto:
-            self.found = cut
-        elif upto <= self.rank and (self.lo is None or cut > self.lo):
-            self.lo, self.below = cut, upto
-        elif self.rank < less and (self.hi is None or cut < self.hi):
-            self.hi, self.upto = cut, less
+# Values that a level of a sketch holds; a sketch takes some 25 bytes for each.
+ACCURACY = 2048
+# Sketches of tasks are first merged in so many groups.
+PARTS = 256
 
 
 def as_fraction(p: float | Fraction) -> Fraction:
@@ -88,65 +50,57 @@ def exact_quantiles(
     fractions: Sequence[float | Fraction],
     *,
     max_inside: int | None = None,
-    sample_rows: int | None = None,
+    accuracy: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of the non-missing values of each column.
 
-    Up to four passes read ``df`` with only ``columns`` selected, so its rows must
-    be the same each time; materialise an expensive or non-deterministic frame first.
+    Two passes read ``df`` with only ``columns`` selected (a hundred columns at a time),
+    so its rows must be the same both times; materialise a non-deterministic frame first.
     """
     columns = list(dict.fromkeys(columns))
-    if not columns:
-        return {}
-    max_inside = MAX_INSIDE if max_inside is None else max_inside
-    sample_rows = SAMPLE_ROWS if sample_rows is None else sample_rows
-    numbers = df.select(*[value(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    names = [f"v{i}" for i in range(len(columns))]
     wanted = [as_fraction(p) for p in fractions]
-
-    sizes = aggregate_row(numbers, {v: F.count(v) for v in names})
-    searches: dict[tuple[str, int], _Search] = {}
-    for v in names:
-        n = sizes[v]
-        for p in wanted if n else []:
-            position = p * (n - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                searches[v, rank] = _Search(v, rank, None, 0, None, n)
-
-    seed = 0
-    while open_searches := [
-        s for s in searches.values() if s.found is None and s.inside > max_inside
-    ]:
-        _narrow(numbers, open_searches, list(searches.values()), sample_rows, seed)
-        if not seed:
-            numbers = _survivors(numbers, [s for s in searches.values() if s.found is None])
-        seed += 1
-    _pick(numbers, [s for s in searches.values() if s.found is None])
-
     result: dict[str, list[float | None]] = {}
-    for c, v in zip(columns, names):
-        n = sizes[v]
-        result[c] = [
-            _interpolate(p * (n - 1), v, searches) if n else None for p in wanted
-        ]
+    for group in chunks(columns, MAX_EXPRESSIONS // 2):
+        result |= _quantiles(df, group, wanted, max_inside or MAX_INSIDE, accuracy or ACCURACY)
     return result
 
 
-def _survivors(numbers: DataFrame, searches: list[_Search]) -> DataFrame:
-    """The values inside the intervals, all others as NULL, written once; rows without any are left out."""
-    tests: dict[str, str] = {}
-    for s in searches:
-        inside = f"({s.contains()})"
-        tests[s.column] = f"{tests[s.column]} OR {inside}" if s.column in tests else inside
-    if not tests:
-        return numbers.limit(0)
-    kept = numbers.selectExpr(*[f"CASE WHEN {test} THEN {v} END AS {v}" for v, test in tests.items()])
-    return materialize(kept.where(" OR ".join(f"{v} IS NOT NULL" for v in tests)), "inside")
-
-
-def _interpolate(position: Fraction, v: str, searches: dict) -> float:
-    low = searches[v, math.floor(position)].found
-    high = searches[v, math.ceil(position)].found
+def _quantiles(df: DataFrame, columns: Sequence[str], wanted: Sequence[Fraction], max_inside: int, accuracy: int) -> dict:
+    numbers = df.select(*[value(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    sizes, bounds = _sketch(numbers, wanted, accuracy)
+    cuts = [sorted({b for pair in own for b in pair}) for own in bounds]
+    inside = [{2 * j for lo, hi in own for j in range(points.index(lo) + 1, points.index(hi) + 1)} for own, points in zip(bounds, cuts)]
+    ranks = [
+        sorted({f(p * (n - 1)) for p in wanted for f in (math.floor, math.ceil)}) if n else [] for n in sizes
+    ]
+    found: dict[tuple[int, int], float] = {}
+    waiting = {i for i, own in enumerate(ranks) if own}
+    while waiting:
+        cells, counts = _cells(numbers, {i: cuts[i] for i in sorted(waiting)}, inside)
+        places: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        missed = set()
+        for i in waiting:
+            upto = list(accumulate(counts.get((i, cell), 0) for cell in range(2 * len(cuts[i]) + 1)))
+            for rank in ranks[i]:
+                cell = bisect_right(upto, rank)
+                if cell % 2:
+                    found[i, rank] = cuts[i][cell // 2]
+                elif cell in inside[i]:
+                    places.setdefault((i, cell), []).append((rank, rank - (upto[cell - 1] if cell else 0)))
+                else:
+                    inside[i].add(cell)
+                    missed.add(i)
+        found |= _pick(cells, places, counts, max_inside)
+        waiting = missed
+    return {
+        c: [_interpolate(p * (sizes[i] - 1), i, found) if sizes[i] else None for p in wanted]
+        for i, c in enumerate(columns)
+    }
+
+
+def _interpolate(position: Fraction, column: int, found: dict[tuple[int, int], float]) -> float:
+    low = found[column, math.floor(position)]
+    high = found[column, math.ceil(position)]
     if low == high:
         return low
     if math.isinf(low) or math.isinf(high):
@@ -154,120 +108,89 @@ def _interpolate(position: Fraction, v: str, searches: dict) -> float:
     return low + (high - low) * float(position - math.floor(position))
 
 
-def _narrow(
-    numbers: DataFrame, open_searches: list[_Search], every: list[_Search], sample_rows: int, seed: int
-) -> None:
-    """One sample scan and one count scan."""
-    intervals: dict[tuple, list[_Search]] = {}
-    for s in open_searches:
-        intervals.setdefault((s.column, s.lo, s.hi), []).append(s)
-    groups = list(intervals.values())
-
-    cuts: set[tuple[str, float]] = set()
-    for group_chunk in chunks(groups, COLUMNS_PER_SAMPLE_SCAN):
-        shares = [min(1.0, sample_rows / members[0].inside) for members in group_chunk]
-        sample = numbers.withColumn("u", F.rand(seed)).where(F.col("u") < F.lit(max(shares)))
-        proposals = {}
-        for i, (members, share) in enumerate(zip(group_chunk, shares)):
-            s = members[0]
-            inside = F.expr(f"CASE WHEN {s.contains()} AND u < {sql_double(share)} THEN {s.column} END")
-            proposals[i] = F.percentile_approx(inside, _around(members, sample_rows), SKETCH_ACCURACY)
-        row = aggregate_row(sample, proposals)
-        for i, members in enumerate(group_chunk):
-            cuts |= {(members[0].column, float(c)) for c in (row[i] or [])}
+def _sketch(numbers: DataFrame, wanted: Sequence[Fraction], accuracy: int) -> tuple[list[int], list[list[tuple[float, float]]]]:
+    """Size of each column, and values around each wanted fraction of it."""
+    names = numbers.columns
+    # Twice the rank error that a sketch keeps to with 99 % confidence.
+    margin = 2 * 2.296 / accuracy**0.9021
+    around = [(max(0.0, float(p) - margin), min(1.0, float(p) + margin)) for p in wanted]
+    flat = F.array(*[F.lit(q) for pair in around for q in pair])
+    part = numbers.withColumn("part", F.spark_partition_id() % PARTS)
+    counts = {f"n_{v}": F.count(v) for v in names}
+    sketches = {f"s_{v}": F.kll_sketch_agg_double(v, accuracy) for v in names}
+    by_part = part.groupBy("part").agg(*[e.alias(n) for n, e in {**counts, **sketches}.items()])
+    merged = by_part.agg(
+        *[F.sum(n).alias(n) for n in counts], *[F.kll_merge_agg_double(s, accuracy).alias(s) for s in sketches]
+    )
+    row = merged.select(
+        *[F.coalesce(n, F.lit(0)).alias(n) for n in counts],
+        *[F.when(F.col(f"n_{v}") > 0, F.kll_sketch_get_quantile_double(f"s_{v}", flat)).alias(v) for v in names],
+    ).first()
+    sizes = [row[n] for n in counts]
+    return sizes, [list(zip(row[v][::2], row[v][1::2])) if row[v] else [] for v in names]
 
-    sampled = {column for column, _ in cuts}
-    if missed := [m for m in groups if m[0].column not in sampled]:
-        # An empty sample is next to impossible; the smallest value inside still makes progress.
-        smallest = aggregate_row(
-            numbers,
-            {i: F.expr(f"min(CASE WHEN {m[0].contains()} THEN {m[0].column} END)") for i, m in enumerate(missed)},
-        )
-        cuts |= {(m[0].column, smallest[i]) for i, m in enumerate(missed)}
 
-    # With the bounds of all intervals as cuts no cell spans two intervals.
-    waiting = [s for s in every if s.found is None]
-    cuts |= {(s.column, bound) for s in waiting for bound in (s.lo, s.hi) if bound is not None}
-    by_column: dict[str, list[float]] = {}
-    for column, cut in sorted(cuts):
-        by_column.setdefault(column, []).append(cut)
-    counts = _count_cells(numbers, by_column)
-    for s in waiting:
-        lo, hi, less = s.lo, s.hi, s.below
-        for i, cut in enumerate(by_column.get(s.column, [])):
-            if (lo is None or cut > lo) and (hi is None or cut < hi):
-                less += counts.get((s.column, 2 * i), 0)
-                upto = less + counts.get((s.column, 2 * i + 1), 0)
-                s.shrink(cut, less, upto)
-                less = upto
+def _cell(v: str, cuts: Sequence[float], low: int, high: int) -> str:
+    """SQL for the cell of a value: 2i lies between cuts i-1 and i, 2i+1 is cut i itself."""
+    if low == high:
+        return str(2 * low)
+    middle = (low + high) // 2
+    cut = sql_double(cuts[middle])
+    return (
+        f"CASE WHEN {v} < {cut} THEN {_cell(v, cuts, low, middle)} "
+        f"WHEN {v} = {cut} THEN {2 * middle + 1} ELSE {_cell(v, cuts, middle + 1, high)} END"
+    )
 
 
-def _count_cells(numbers: DataFrame, cuts: dict[str, list[float]]) -> dict[tuple[str, int], int]:
-    """Rows per cell: cell 2i lies between cuts i-1 and i, cell 2i+1 is cut i itself."""
-    cells = []
-    for v, points in cuts.items():
-        steps = " ".join(
-            f"WHEN {v} < {sql_double(cut)} THEN {2 * i} WHEN {v} = {sql_double(cut)} THEN {2 * i + 1}"
-            for i, cut in enumerate(points)
-        )
-        cells.append(f"CASE WHEN {v} IS NULL THEN NULL {steps} ELSE {2 * len(points)} END AS {v}")
-    entries = ", ".join(f"'{c}', {c}" for c in cuts)
-    rows = (
-        numbers.selectExpr(*cells)
-        .selectExpr(f"stack({len(cuts)}, {entries}) AS (column, cell)")
+def _cells(
+    numbers: DataFrame, cuts: dict[int, Sequence[float]], inside: Sequence[Iterable[int]]
+) -> tuple[DataFrame, dict[tuple[int, int], int]]:
+    """(column, cell, v, n) written, v being NULL outside of the cells to keep; and the rows of each cell."""
+    numbered = numbers.selectExpr(
+        *[f"v{i}" for i in cuts], *[f"CASE WHEN v{i} IS NOT NULL THEN {_cell(f'v{i}', c, 0, len(c))} END AS c{i}" for i, c in cuts.items()]
+    )
+    entries = []
+    for i in cuts:
+        kept = ", ".join(map(str, sorted(inside[i]))) or "-1"
+        entries.append(f"{i}, c{i}, CASE WHEN c{i} IN ({kept}) THEN v{i} END")
+    table = (
+        numbered.selectExpr(f"stack({len(cuts)}, {', '.join(entries)}) AS (column, cell, v)")
         .where("cell IS NOT NULL")
-        .groupBy("column", "cell")
-        .count()
-        .collect()
+        .groupBy("column", "cell", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return {(r["column"], r["cell"]): r["count"] for r in rows}
-
-
-def _around(members: list[_Search], sample_rows: int) -> list[float]:
-    """Fractions of the interval a little below and above each wanted rank, and its middle."""
-    points = {0.5}
-    for s in members:
-        q = (s.rank - s.below + 0.5) / s.inside
-        drawn = min(sample_rows, s.inside)
-        margin = 5 * math.sqrt(q * (1 - q) / drawn) + 20 / drawn + 2 / SKETCH_ACCURACY
-        points |= {max(0.0, round(q - margin, 6)), min(1.0, round(q + margin, 6))}
-    return sorted(points)
-
+    table = materialize(table, "cells")
+    # At most two cells for each bound, whatever the table holds.
+    rows = table.groupBy("column", "cell").agg(F.sum("n").alias("n")).collect()
+    return table, {(r["column"], r["cell"]): r["n"] for r in rows}
 
-def _pick(numbers: DataFrame, searches: list[_Search]) -> None:
-    """Name the remaining ranks by a running count over the distinct values inside each interval."""
-    if not searches:
-        return
-    intervals: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        intervals.setdefault((s.column, s.lo, s.hi), []).append(s)
-    groups = list(intervals.values())
-    spark = numbers.sparkSession
 
-    # The intervals of a column do not overlap, so a value is in one of them at most.
-    choice: dict[str, str] = {}
-    for i, m in enumerate(groups):
-        step = f"WHEN {m[0].contains()} THEN {i}"
-        choice[m[0].column] = f"{choice.get(m[0].column, 'CASE')} {step}"
-    chosen = numbers.selectExpr(*choice, *[f"{steps} END AS i_{c}" for c, steps in choice.items()])
-    entries = ", ".join(f"i_{c}, {c}" for c in choice)
-    inside = chosen.selectExpr(f"stack({len(choice)}, {entries}) AS (interval, v)").where("interval IS NOT NULL")
-    running = W.partitionBy("interval").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    counted = (
-        inside.groupBy("interval", "v")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("upto", F.sum("c").over(running))
-    )
-    ranks = small_table(spark, [(i, s.rank - s.below) for i, m in enumerate(groups) for s in m], "interval int, rank bigint"
-    )
-    # `ranks` has at most two rows per column and fraction, so it is always small.
+def _pick(cells: DataFrame, places: dict, counts: dict, max_inside: int) -> dict[tuple[int, int], float]:
+    """Values of the ranks in kept cells, by running counts; ``places`` has (rank, rank in its cell)."""
+    if not places:
+        return {}
+    spark = cells.sparkSession
+    wanted = [(i, cell, rank, at) for (i, cell), own in places.items() for rank, at in own]
+    # One row for each rank that was asked for.
+    ranks = small_table(spark, wanted, "column int, cell int, rank bigint, at bigint")
+    keys = ["column", "cell"]
+    held = cells.join(F.broadcast(ranks.select(*keys).distinct()), keys, "left_semi")
+    if max(counts[place] for place in places) > max_inside:
+        held = held.repartitionByRange("column", "cell", "v").withColumn("part", F.spark_partition_id())
+        held = materialize(held, "sorted-cells")
+        totals = held.groupBy(*keys, "part").agg(F.sum("n").alias("n"))
+        ahead = totals.withColumn("ahead", F.sum("n").over(W.partitionBy(*keys).orderBy("part")) - F.col("n"))
+        # The partition that holds a rank, and its place there: again a row for each rank.
+        ranks = ahead.join(F.broadcast(ranks), keys).where("at >= ahead and at < ahead + n")
+        ranks = ranks.select(*keys, "part", "rank", (F.col("at") - F.col("ahead")).alias("at"))
+        keys = [*keys, "part"]
+        held = held.join(F.broadcast(ranks.select(*keys).distinct()), keys, "left_semi")
+    running = W.partitionBy(*keys).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    counted = held.withColumn("upto", F.sum("n").over(running))
     rows = (
-        counted.join(F.broadcast(ranks), "interval")
-        .where((F.col("rank") >= F.col("upto") - F.col("c")) & (F.col("rank") < F.col("upto")))
-        .select("interval", "rank", "v")
+        counted.join(F.broadcast(ranks), keys)
+        .where((F.col("at") >= F.col("upto") - F.col("n")) & (F.col("at") < F.col("upto")))
+        .select("column", "rank", "v")
         .collect()
     )
-    found = {(r["interval"], r["rank"]): r["v"] for r in rows}
-    for i, m in enumerate(groups):
-        for s in m:
-            s.found = found[i, s.rank - s.below]
+    return {(r["column"], r["rank"]): r["v"] for r in rows}

@@ -816,7 +816,7 @@ _TENTHS = [0.01, 0.1, 0.25, 0.5, 0.9, 0.999]
 )
 def quantiles_narrowed(spark, sf):
     """Limits so small that every quantile is found by narrowing intervals, in several rounds."""
-    found = exact_quantiles(stages.table(spark, sf, "lineitem"), _CORNERED, _TENTHS, max_inside=50, sample_rows=300)
+    found = exact_quantiles(stages.table(spark, sf, "lineitem"), _CORNERED, _TENTHS, max_inside=50, accuracy=64)
     rows = [(c, p, q) for c, values in found.items() for p, q in zip(_TENTHS, values)]
     return rounded(spark.createDataFrame(rows, "column string, point double, quantile double"))
 

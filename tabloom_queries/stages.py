@@ -70,10 +70,13 @@ def loan_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view written once per session: fits read it several times and should not join again."""
+    """The view written once per session: fits read it several times and should not join again.
+
+    The test tables have one row group each, so the rows are dealt out to a file for each core.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = materialize(loan_view(spark, sf_dir), "loan")
+        _stored[key] = materialize(loan_view(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism), "loan")
     return _stored[key]
 
 
