@@ -30,6 +30,20 @@ def quoted(name: str) -> Column:
     return F.col(quoted_name(name))
 
 
+# Bytes of a text that is its own key; the digest of a longer one has a byte more.
+KEY_BYTES = 64
+
+
+def text_key(col: Column) -> Column:
+    """What a text is grouped and shuffled by: itself if it is short, else its 256-bit digest; NULL stays NULL."""
+    return F.when(F.octet_length(col) > KEY_BYTES, F.concat(F.lit("#"), F.sha2(col.cast("binary"), 256))).otherwise(col)
+
+
+def key_column(df: DataFrame, name: str) -> Column:
+    """A column to group rows by, with text by its key."""
+    return text_key(quoted(name)) if is_string(df, name) else quoted(name)
+
+
 def is_numeric(df: DataFrame, name: str) -> bool:
     """Numeric types only: booleans are not numeric here."""
     return isinstance(df.schema[name].dataType, T.NumericType)

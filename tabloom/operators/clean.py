@@ -7,8 +7,9 @@ plain mapping; the matching apply functions are single projections.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from tabloom.functions.columns import (
     clamp,
@@ -16,6 +17,7 @@ from tabloom.functions.columns import (
     is_infinite,
     is_numeric,
     is_string,
+    key_column,
     numeric_columns,
     parse_number,
     present,
@@ -24,11 +26,17 @@ from tabloom.functions.columns import (
     strip,
     value,
 )
+from tabloom.functions.lineage import materialize
 from tabloom.functions.quantiles import exact_quantiles
 from tabloom.functions.wide import aggregate_row
-from tabloom.operators.profile import value_table
+from tabloom.operators.profile import top_values, value_table
 
 LOG_EPS = 1e-9
+# Rows whose text is measured, and the mean bytes of a row's key beyond which it counts as long.
+LOOK_ROWS = 1000
+LONG_BYTES = 256
+# Row numbers that may be broadcast: 16 MB.
+MAX_BROADCAST_ROWS = 2_000_000
 
 
 # --- columns and keys -------------------------------------------------------
@@ -80,27 +88,62 @@ def deduplicate(
     """Keep the first or last row per key in ``order_by`` order, or (``keep=False``) only rows whose key is unique.
 
     Spark limits each task to one candidate per key before the shuffle, so the copies
-    of a hot key do not meet in one task. Without ``order_by`` any one row is kept,
-    which is exact when the key is the whole row.
+    of a hot key do not meet in one task. Rows are partitioned by the keys of long text,
+    see :func:`text_key`. Without ``order_by`` any one row is kept, which is exact when the
+    key is the whole row.
     """
     keys = list(subset or df.columns)
     if keep is False:
         return _unrepeated(df, keys)
     if not order_by:
-        return df.dropDuplicates(keys)
+        return _one_of_each(df, keys)
     order = [quoted(c) if isinstance(c, str) else c for c in order_by]
     if keep == "last":
         order = [c.desc_nulls_last() for c in order]
-    window = W.partitionBy(*[quoted(c) for c in keys]).orderBy(*order)
+    window = W.partitionBy(*[key_column(df, c) for c in keys]).orderBy(*order)
     return df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") == 1).drop("_place")
 
 
 def _unrepeated(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows alone under their key: at most two candidates per key and task are shuffled."""
-    window = W.partitionBy(*[quoted(c) for c in keys]).orderBy(F.lit(1))
-    few = df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= 2)
-    copies = F.max("_place").over(W.partitionBy(*[quoted(c) for c in keys]))
-    return few.withColumn("_copies", copies).where(F.col("_copies") == 1).drop("_place", "_copies")
+    keyed = {f"_key{i}": key_column(df, c) for i, c in enumerate(keys)}
+    by = W.partitionBy(*keyed)
+    few = df.withColumns(keyed).withColumn("_place", F.row_number().over(by.orderBy(F.lit(1)))).where(F.col("_place") <= 2)
+    copies = F.max("_place").over(by)
+    return few.withColumn("_copies", copies).where(F.col("_copies") == 1).drop("_place", "_copies", *keyed)
+
+
+def _sized(df: DataFrame, name: str) -> Column:
+    """The key of a value as text with its length in front, so that values written one after another stay apart."""
+    dtype = df.schema[name].dataType
+    col = key_column(df, name)
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+        col = F.when(col.isNotNull(), F.to_json(F.struct(col)))
+    if is_fractional(df, name):
+        col = col + F.lit(0.0)  # -0.0 and 0.0 are one value
+    text = col.cast("string")
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def _one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key. Where keys are long texts the rows are written and only digests and numbers shuffled.
+
+    The length of text in a few rows chooses the way, never the result.
+    """
+    texts = [c for c in keys if is_string(df, c)]
+    if not texts:
+        return df.dropDuplicates(keys)
+    length = reduce(Column.__add__, [F.coalesce(F.octet_length(quoted(c)), F.lit(0)) for c in texts])
+    if (df.limit(LOOK_ROWS).agg(F.avg(length)).first()[0] or 0) <= LONG_BYTES:
+        return df.dropDuplicates(keys)
+    whole = F.sha2(F.concat(*[_sized(df, c) for c in keys]).cast("binary"), 256)
+    rows = materialize(df.withColumns({"_key": whole, "_row": F.monotonically_increasing_id()}), "rows")
+    numbers = rows.select("_key", "_row")
+    first = numbers.groupBy("_key").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    gone = materialize(numbers.join(first, "_key").where("_row <> _first").select("_row"), "copies")
+    if gone.count() <= MAX_BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, "_row", "left_anti").select(*[quoted(c) for c in df.columns])
 
 
 # --- formats ----------------------------------------------------------------
@@ -225,9 +268,7 @@ def fit_fill_values(train: DataFrame, columns: Sequence[str]) -> dict[str, float
     medians = exact_quantiles(train, numeric, [0.5])
     fills: dict[str, float | str | None] = {c: medians[c][0] for c in numeric}
     if other:
-        best = F.min(F.struct((-F.col("count")).alias("minus"), F.col("value").alias("value")))
-        modes = value_table(train, other).groupBy("column").agg(best.alias("best")).collect()
-        found = {r["column"]: r["best"]["value"] for r in modes}
+        found = {r["column"]: r["top_value"] for r in top_values(train, other).collect()}
         fills |= {c: found.get(c) for c in other}
     return {c: fills[c] for c in names}
 

@@ -12,12 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import (
+    KEY_BYTES,
+    key_column,
     numeric_columns,
     percent_of,
     present,
     quoted,
     round_even,
     string_columns,
+    text_key,
     value,
 )
 from tabloom.functions.quantiles import exact_quantiles
@@ -150,6 +153,43 @@ def value_table(df: DataFrame, columns: Sequence[str], *, target: str | None = N
     return long.groupBy("column", "value").agg(*sums)
 
 
+def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, distinct_values, present, top_value, top_count): ties go to the lowest value.
+
+    Values are grouped by their keys, so that a long text is shuffled as a digest. Of the most frequent
+    ones the least start decides. If that is the start of long values, a second scan reads the rows with
+    this start alone and finds the value; where no column needs that, the scan falls away.
+    """
+    start = F.substring("value", 1, KEY_BYTES)
+    long = F.octet_length("value") > KEY_BYTES
+    values = melt(df, columns, "string").where(F.col("value").isNotNull())
+    values = values.select("column", "value", text_key(F.col("value")).alias("key"), start.alias("start"), long.alias("long"))
+    per_key = values.groupBy("column", "key").agg(
+        F.count(F.lit(1)).alias("count"), F.first("start").alias("start"), F.first("long").alias("long")
+    )
+    best = F.min(F.struct((-F.col("count")).alias("minus"), "start", "long")).alias("best")
+    stats = per_key.groupBy("column").agg(
+        F.count(F.lit(1)).alias("distinct_values"), F.sum("count").alias("present"), best
+    )
+    stats = stats.select(
+        "column", "distinct_values", "present", (-F.col("best.minus")).alias("top_count"), "best.start", "best.long"
+    )
+    # One row per column.
+    needy = F.broadcast(stats.where("long").select("column", "start", "top_count"))
+    late = (
+        values.where("long")
+        .join(needy, ["column", "start"])
+        .groupBy("column", "key", "top_count")
+        .agg(F.count(F.lit(1)).alias("count"), F.min("value").alias("value"))
+        .where(F.col("count") == F.col("top_count"))
+        .groupBy("column")
+        .agg(F.min("value").alias("late_value"))
+    )
+    return stats.join(F.broadcast(late), "column", "left").select(
+        "column", "distinct_values", "present", F.coalesce("late_value", "start").alias("top_value"), "top_count"
+    )
+
+
 def categorical_profile(df: DataFrame, *, target: str = "target", max_unique: int = 50) -> DataFrame:
     """Distinct values, cardinality level, missing % and the most frequent value per string column."""
     columns = string_columns(df, exclude=[target])
@@ -158,18 +198,7 @@ def categorical_profile(df: DataFrame, *, target: str = "target", max_unique: in
             "column string, distinct_values bigint, cardinality string, missing_pct double, "
             "top_value string, top_share_pct double",
         )
-    # The least of (-count, value) is the most frequent value, ties going to the lowest.
-    best = F.min(F.struct((-F.col("count")).alias("minus"), F.col("value").alias("top_value")))
-    stats = (
-        value_table(df, columns)
-        .groupBy("column")
-        .agg(
-            F.count(F.lit(1)).alias("distinct_values"),
-            F.sum("count").alias("present"),
-            best.alias("best"),
-        )
-        .select("column", "distinct_values", "present", "best.top_value", (-F.col("best.minus")).alias("top_count"))
-    )
+    stats = top_values(df, columns)
     missing = missing_counts(df, columns)
     distinct = F.coalesce("distinct_values", F.lit(0))
     level = F.when(distinct <= 5, "low").when(distinct <= max_unique, "medium").otherwise("high")
@@ -231,8 +260,8 @@ def target_distribution(df: DataFrame, *, target: str = "target") -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """One row: table rows and rows beyond the first of each key. Nulls are one key value."""
-    keys = [quoted(c) for c in (subset or df.columns)]
+    """One row: table rows and rows beyond the first of each key. Nulls are one key value; long text is grouped by digest."""
+    keys = [key_column(df, c).alias(f"k{i}") for i, c in enumerate(subset or df.columns)]
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("copies"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabloom.functions.columns import is_fractional, is_string, percent_of, quoted, round_even, value
+from tabloom.functions.columns import is_fractional, is_string, percent_of, quoted, round_even, text_key, value
 from tabloom.functions.wide import column_report, melt, small_table
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -26,13 +26,14 @@ def _distinct_counts(df: DataFrame, columns: list[str], exact: bool) -> DataFram
     """Distinct non-missing values per column.
 
     Exact counts go through one long (column, value) grouping, so a hot value is
-    combined before the shuffle and a column is spread over many tasks.
+    combined before the shuffle and a column is spread over many tasks. Long values
+    are counted by their digests.
     """
     if not exact:
         return column_report(
             df, columns, lambda c: {"distinct_values": _distinct(df, c, False)}, "distinct_values bigint"
         ).select("column", "distinct_values")
-    text = df.select(*[_as_text(df, c).alias(c) for c in columns])
+    text = df.select(*[text_key(_as_text(df, c)).alias(c) for c in columns])
     return (
         melt(text, columns, "string")
         .where(F.col("value").isNotNull())

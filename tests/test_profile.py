@@ -1,8 +1,10 @@
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.operators import profile, target, types, validate
+from tabloom.operators import clean, profile, target, types, validate
 
 
 @pytest.mark.parametrize(
@@ -125,3 +127,60 @@ def test_checks(frame):
     got = {r["column"]: tuple(r)[1:] for r in validate.quality_report(df).collect()}
     assert got == {"s": (True, 1, 0, 2), "x": (False, 1, 1, None)}
     assert validate.remaining_categoricals(df) == ["s"]
+
+
+LONG = "x" * 64
+
+
+@pytest.mark.parametrize(
+    ("texts", "top"),
+    [
+        (["b", "a", "b", None], ("b", 2, 2)),
+        ([LONG + "b", LONG + "a", "z"], (LONG + "a", 3, 1)),
+        ([LONG + "b", LONG + "a", LONG + "b", LONG, LONG], (LONG, 3, 2)),
+        ([LONG + "b", LONG + "a", LONG + "b", LONG], (LONG + "b", 3, 2)),
+        (["y" + LONG, LONG + "é", "y" + LONG, LONG + "é", None], (LONG + "é", 2, 2)),
+        (["é" * 70, "é" * 69, "a" * 65], ("a" * 65, 3, 1)),
+        ([None, None], (None, None, None)),
+    ],
+)
+def test_top_values(frame, texts, top):
+    df = frame([(t,) for t in texts], "t string").repartition(3)
+    rows = profile.top_values(df, ["t"]).collect()
+    got = tuple(rows[0][c] for c in ("top_value", "distinct_values", "top_count")) if rows else (None, None, None)
+    assert got == top
+
+
+def test_a_digest_is_no_value(spark, frame):
+    """A short text that reads like a key is another value; long texts that differ at the end are two."""
+    import hashlib
+
+    digest = hashlib.sha256((LONG + "a").encode()).hexdigest()
+    df = frame([(LONG + "a",), (digest,), ("#" + digest[:63],), (LONG + "b",), (LONG + "a",)], "t string")
+    assert profile.duplicate_count(df).first()["duplicates"] == 1
+    assert types.type_report(df).first()["distinct_values"] == 4
+
+
+def test_long_text_is_not_shuffled(spark, capsys):
+    """Exchanges of the plans carry keys, counts and starts, but not the text column."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    long = docs.select("doc_id", "text")
+    for frame in (
+        profile.duplicate_count(docs, ["text"]),
+        clean.deduplicate(long, ["text"], order_by=["doc_id"]).select("doc_id"),
+        clean.deduplicate(long, ["text"], keep=False).select("doc_id"),
+        clean.deduplicate(docs.drop("doc_id")),
+    ):
+        frame.explain("formatted")
+        plan = capsys.readouterr().out
+        for exchange in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan):
+            assert not re.search(r"\btext#", exchange), exchange
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_one_of_each_long_row(spark, monkeypatch, limit):
+    monkeypatch.setattr(clean, "MAX_BROADCAST_ROWS", limit)
+    rows = [("t" * 600 + str(i % 7), None if i % 2 else "k", i % 3) for i in range(200)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "text string, lang string, n int").repartition(5)
+    assert sorted(map(tuple, clean.deduplicate(df).collect()), key=str) == sorted(set(rows), key=str)
+    assert clean.deduplicate(df, ["text"]).count() == 8
