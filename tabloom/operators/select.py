@@ -9,15 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import is_numeric, value
-from tabloom.functions.wide import column_report
+from tabloom.functions.lineage import materialize
+from tabloom.functions.wide import column_report, small_table
 from tabloom.operators.correlation import correlation_table
 
 
 # Two columns that are multiples of each other differ in the last bits only: a tie.
 TIE = 1e-9
+# Pairs that the driver may look at one by one.
+MAX_PAIRS = 100_000
 
 
 def column_health(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -69,27 +72,67 @@ def select_by_correlation(
 
     Pairs are visited in column order and a pair with a column already dropped is
     passed over. When a target correlation is undefined the first column goes.
+    Only names reach the driver, and pairs once there are at most MAX_PAIRS.
     """
     numeric = [c for c in columns if is_numeric(df, c) and c != target]
     with_target = target in df.columns
     pairs = correlation_table(df, [*numeric, target] if with_target else numeric)
-    strong = pairs.where((F.abs("correlation") > threshold) | (F.col("right") == F.lit(target)))
-    rows = strong.collect()
-    strength = {r["left"]: r["correlation"] for r in rows if with_target and r["right"] == target}
-    dropped: list[str] = []
-    for r in rows:
-        left, right = r["left"], r["right"]
-        if right == target and with_target or left in dropped or right in dropped:
-            continue
-        dropped.append(right if _at_least(strength, left, right, with_target) else left)
-    return [c for c in columns if c in set(dropped)]
-
-
-def _at_least(strength: Mapping[str, float | None], left: str, right: str, with_target: bool) -> bool:
-    if not with_target:
-        return True
-    a, b = strength.get(left), strength.get(right)
-    return a is not None and b is not None and abs(a) >= abs(b) - TIE
+    strong = materialize(pairs.where((F.abs("correlation") > threshold) | (F.col("right") == F.lit(target))), "strong-pairs")
+    strength = {}
+    if with_target:
+        own = strong.where(F.col("right") == F.lit(target)).select("left", "correlation").collect()
+        strength = {r["left"]: r["correlation"] for r in own}
+    places = small_table(
+        df.sparkSession,
+        [(c, i, strength.get(c)) for i, c in enumerate(numeric)],
+        "column string, place int, strength double",
+    )
+
+    def side(name: str, place: str) -> DataFrame:
+        return F.broadcast(places.select(F.col("column").alias(name), F.col("place").alias(place), F.col("strength").alias(f"s{place}")))
+
+    edges = strong.where(F.abs("correlation") > threshold)
+    if with_target:
+        edges = edges.where(F.col("right") != F.lit(target))
+    keeps_left = F.lit(True)
+    if with_target:
+        keeps_left = F.coalesce(F.abs("si") >= F.abs("sj") - TIE, F.lit(False))
+    edges = edges.join(side("left", "i"), "left").join(side("right", "j"), "right")
+    edges = edges.select("i", "j", F.when(keeps_left, F.col("j")).otherwise(F.col("i")).alias("loser"))
+    dropped = {numeric[i] for i in ordered_losers(edges)}
+    return [c for c in columns if c in dropped]
+
+
+def ordered_losers(edges: DataFrame, max_pairs: int | None = None) -> set[int]:
+    """Losers of the edges (i, j, loser) with i < j, visited by (i, j); an edge of one that has lost is passed over.
+
+    In each round an edge decides if no open edge before it can touch its ends: none that ends in i, none
+    that ends in j from a smaller i, and of those that start in i only such as i wins and that decide in
+    this round too. So the first open edge always does, and one node that beats all others is one round.
+    """
+    limit = MAX_PAIRS if max_pairs is None else max_pairs
+    lost: set[int] = set()
+    edges = materialize(edges, "edges")
+    while edges.count() > limit:
+        ends = edges.groupBy(F.col("j").alias("node")).agg(F.min("i").alias("first"))
+        # One row for each column.
+        ends = F.broadcast(ends)
+        open_ = edges.join(ends.withColumnRenamed("node", "j"), "j").join(
+            ends.select(F.col("node").alias("i"), F.lit(True).alias("waits")), "i", "left"
+        )
+        ready = F.col("waits").isNull() & (F.col("first") == F.col("i"))
+        before = W.partitionBy("i").orderBy("j").rowsBetween(W.unboundedPreceding, -1)
+        stopped = F.max(~F.col("ready") | (F.col("loser") == F.col("i"))).over(before)
+        decided = open_.withColumn("ready", ready).withColumn("stopped", F.coalesce(stopped, F.lit(False)))
+        now = [r["loser"] for r in decided.where("ready and not stopped").select("loser").distinct().collect()]
+        lost |= set(now)
+        gone = F.broadcast(small_table(edges.sparkSession, [(n,) for n in now], "gone int"))
+        edges = edges.join(gone, F.col("i") == F.col("gone"), "left_anti").join(gone, F.col("j") == F.col("gone"), "left_anti")
+        edges = materialize(edges, "edges")
+    for r in edges.orderBy("i", "j").collect():
+        if r["i"] not in lost and r["j"] not in lost:
+            lost.add(r["loser"])
+    return lost
 
 
 def drop_by_iv(scores: Sequence[Mapping], threshold: float = 0.02) -> list[str]:
