@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import (
     clamp,
@@ -30,6 +30,7 @@ from tabloom.functions.lineage import materialize
 from tabloom.functions.quantiles import exact_quantiles
 from tabloom.functions.wide import aggregate_row
 from tabloom.operators.profile import top_values, value_table
+from tabloom.operators.sampling import sized_text
 
 LOG_EPS = 1e-9
 # Rows whose text is measured, and the mean bytes of a row's key beyond which it counts as long.
@@ -113,18 +114,6 @@ def _unrepeated(df: DataFrame, keys: list[str]) -> DataFrame:
     return few.withColumn("_copies", copies).where(F.col("_copies") == 1).drop("_place", "_copies", *keyed)
 
 
-def _sized(df: DataFrame, name: str) -> Column:
-    """The key of a value as text with its length in front, so that values written one after another stay apart."""
-    dtype = df.schema[name].dataType
-    col = key_column(df, name)
-    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
-        col = F.when(col.isNotNull(), F.to_json(F.struct(col)))
-    if is_fractional(df, name):
-        col = col + F.lit(0.0)  # -0.0 and 0.0 are one value
-    text = col.cast("string")
-    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-
-
 def _one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key. Where keys are long texts the rows are written and only digests and numbers shuffled.
 
@@ -136,7 +125,7 @@ def _one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
     length = reduce(Column.__add__, [F.coalesce(F.octet_length(quoted(c)), F.lit(0)) for c in texts])
     if (df.limit(LOOK_ROWS).agg(F.avg(length)).first()[0] or 0) <= LONG_BYTES:
         return df.dropDuplicates(keys)
-    whole = F.sha2(F.concat(*[_sized(df, c) for c in keys]).cast("binary"), 256)
+    whole = F.sha2(F.concat(*[sized_text(df, c) for c in keys]).cast("binary"), 256)
     rows = materialize(df.withColumns({"_key": whole, "_row": F.monotonically_increasing_id()}), "rows")
     numbers = rows.select("_key", "_row")
     first = numbers.groupBy("_key").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")

@@ -14,6 +14,7 @@ from tabloom.functions.columns import quoted, value
 from tabloom.functions.lineage import materialize, new_path
 from tabloom.functions.wide import aggregate_row, small_table
 from tabloom.operators.clean import fit_fill_values
+from tabloom.operators.sampling import row_hash, sample_rows
 from tabloom.operators.target import add_class_weight, class_weights
 
 MISSING = "_MISSING"
@@ -95,8 +96,7 @@ def _cut_boosting_lineage(spark: SparkSession) -> None:
 def stratified_sample(df: DataFrame, size: int, *, target: str = "target", seed: int = 42) -> DataFrame:
     """``size`` rows with the class shares of ``df``; all rows when there are no more.
 
-    Each class is thinned by a random draw to a little over its quota, then cut to the
-    exact quota by a top-k, which Spark merges from per-task top-k lists.
+    Of each class the rows with the smallest hashes are drawn, see :func:`sample_rows`.
     """
     counts = {
         r[0]: r[1] for r in df.where(quoted(target).isNotNull()).groupBy(quoted(target)).count().collect()
@@ -107,9 +107,7 @@ def stratified_sample(df: DataFrame, size: int, *, target: str = "target", seed:
     parts = None
     for label, n in sorted(counts.items()):
         quota = round(size * n / total)
-        share = min(1.0, (quota + 6 * quota**0.5 + 10) / n)
-        rows = df.where(quoted(target) == label).withColumn("_u", F.rand(seed)).where(F.col("_u") < share)
-        rows = rows.orderBy("_u").limit(quota).drop("_u")
+        rows = sample_rows(df.where(quoted(target) == label), quota, seed=seed)
         parts = rows if parts is None else parts.unionAll(rows)
     return parts
 
@@ -161,7 +159,7 @@ def permutation_importance(
     rows = add_class_weight(inputs.apply(sampled, target), weights, target=target, name="_weight")
     numbered = materialize(
         rows.select(
-            F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.rand(seed))).alias("id"),
+            F.row_number().over(W.partitionBy(F.lit(0)).orderBy(row_hash(rows, seed=seed))).alias("id"),
             quoted(target).cast("double").alias("label"),
             "_weight",
             F.array(*[quoted(c) for c in inputs.names]).alias("x"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.columns import quoted
 from tabloom.operators.profile import target_distribution
+from tabloom.operators.sampling import below, class_sizes, hash_thresholds, row_hash
 from tabloom.functions.wide import small_table
 
 
@@ -100,14 +101,25 @@ def split_report(df: DataFrame, *, target: str = "target", name: str = "split")
     )
 
 
-def _cut(u: Column, val_size: float, test_size: float) -> Column:
-    return F.when(u < test_size, "test").when(u < test_size + val_size, "val").otherwise("train")
+def _split(
+    df: DataFrame, keys: Sequence[str], by: str | None, test_size: float, val_size: float, seed: int, name: str
+) -> DataFrame:
+    """Label the rows of each class by their hash: the first go to test, the next to val, the others to train."""
+    hash_ = row_hash(df, [by, *keys] if by else list(keys), seed)
+    sizes = class_sizes(df, by) if by else {None: df.count()}
+    rows = df.select((quoted(by) if by else F.lit(None).cast("string")).alias("class"), hash_.alias("hash"))
 
+    def rounded(share: float, n: int) -> int:
+        return int(share * n + 0.5 + 1e-9)
 
-def _unit(keys: Sequence[str], seed: int) -> Column:
-    """A number in [0, 1) that depends only on the key and the seed."""
-    mixed = F.xxhash64(F.lit(seed), *[quoted(k) for k in keys])
-    return F.pmod(mixed, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    ranks = {c: [rounded(test_size, n), rounded(test_size, n) + rounded(val_size, n)] for c, n in sizes.items()}
+    label = None
+    for value, (test, val) in hash_thresholds(rows, ranks).items():
+        own = quoted(by).eqNullSafe(F.lit(value)) if by else F.lit(True)
+        cut = F.when(below(F.col("_hash"), test), "test").when(below(F.col("_hash"), val), "val").otherwise("train")
+        label = F.when(own, cut) if label is None else label.when(own, cut)
+    # A NULL class is a class like any other.
+    return df.withColumn("_hash", hash_).withColumn(name, F.lit("train") if label is None else label).drop("_hash")
 
 
 def split_random(
@@ -119,8 +131,12 @@ def split_random(
     seed: int = 42,
     name: str = "split",
 ) -> DataFrame:
-    """Split by a hash of the key columns: no shuffle, and the same row always lands in the same slice."""
-    return df.withColumn(name, _cut(_unit(keys, seed), val_size, test_size))
+    """Split by a hash of the key columns into exactly the rounded shares.
+
+    The same table gives the same slices in any order. Nothing is shuffled: counts of hash
+    prefixes give the two thresholds, and rows that repeat a key at one of them stay together.
+    """
+    return _split(df, keys, None, test_size, val_size, seed, name)
 
 
 def split_stratified(
@@ -133,12 +149,8 @@ def split_stratified(
     seed: int = 42,
     name: str = "split",
 ) -> DataFrame:
-    """The same shares within every class, through a hash drawn separately per class.
-
-    Shares hold up to the binomial error of the class size and need no shuffle; an
-    exact count per class would rank all rows of a class against each other.
-    """
-    return df.withColumn(name, _cut(_unit([target, *keys], seed), val_size, test_size))
+    """The same shares within every class, each rounded to whole rows; see :func:`split_random`."""
+    return _split(df, keys, target, test_size, val_size, seed, name)
 
 
 def class_weights(df: DataFrame, *, target: str = "target") -> DataFrame:

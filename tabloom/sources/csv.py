@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabloom.functions.columns import parse_number, present, quoted, quoted_name
+from tabloom.operators.sampling import sample_rows
 from tabloom.operators.types import optimize_types
 from tabloom.sources.records import can_split, read_records
 
@@ -165,24 +165,6 @@ def count_rows(spark: SparkSession, path: str, **dialect) -> int:
     return read_csv_table(spark, path, schema=text_only, **dialect).count()
 
 
-def sample_rows(
-    df: DataFrame, size: int = 50_000, *, seed: int = 42, head_only: bool = False
-) -> DataFrame:
-    """``size`` rows without replacement, all rows when there are no more than that.
-
-    The draw is uniform over the whole table: rows are counted, thinned at random to a
-    little over ``size`` and cut by a top-k on the random number, so only about ``size``
-    rows ever meet in one task. ``head_only`` draws from the first ``3 * size`` rows instead.
-    """
-    base = df.limit(3 * size) if head_only else df
-    total = base.count()
-    if total <= size:
-        return base
-    share = min(1.0, (size + 6 * math.sqrt(size) + 10) / total)
-    drawn = base.withColumn("_u", F.rand(seed)).where(F.col("_u") < share)
-    return drawn.orderBy("_u").limit(size).drop("_u")
-
-
 def read_sample(
     spark: SparkSession,
     path: str,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.functions.lineage import new_path
 from tabloom.functions.quantiles import exact_quantiles
-from tabloom.operators import clean, encode, importance, information, profile, rowid, select, target, types, validate
+from tabloom.operators import clean, encode, importance, information, profile, rowid, sampling, select, target, types, validate
 from tabloom.operators.correlation import correlation_table, target_correlation
 from tabloom.operators.features import add_features, add_formulas
 from tabloom.operators.importance import permutation_importance, tree_importance
@@ -159,11 +159,27 @@ def parquet_round_trip(spark, sf):
     return rounded(tables.read_parquet_table(spark, path, ["event_id", "user_id", "event_type", "value"]))
 
 
-@query("SELECT least(count(*), 5000) AS rows, CAST(1 AS BIGINT) AS copies FROM orders")
+def _hash_sql(*keys: str) -> str:
+    """The hash by which rows are drawn, in SQL."""
+    return "md5('42|' || " + " || ".join(f"coalesce(strlen(CAST({k} AS VARCHAR)) || ':' || {k}, '-')" for k in keys) + ")"
+
+
+@query(f"SELECT o_orderkey, o_custkey FROM orders ORDER BY {_hash_sql('o_orderkey')} LIMIT 5000")
 def sample_rows(spark, sf):
-    drawn = csv.sample_rows(stages.table(spark, sf, "orders"), 5000)
-    per_key = drawn.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("copies"))
+    """The rows themselves, the same in any order and partitioning of the table."""
+    orders = stages.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return csv.sample_rows(orders.repartition(7), 5000, keys=["o_orderkey"])
+
+
+@query(
+    f"""SELECT o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY {_hash_sql("o_orderkey")}) AS n
+    FROM orders) t WHERE n <= CASE o_orderpriority WHEN '1-URGENT' THEN 100 WHEN '3-MEDIUM' THEN 250 WHEN '5-LOW' THEN 1000000000 ELSE 0 END"""
+)
+def stratified_sample(spark, sf):
+    """Quotas by class; one asks for more than there is."""
+    orders = stages.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    quotas = {"1-URGENT": 100, "3-MEDIUM": 250, "5-LOW": 1_000_000_000, "absent": 5}
+    return sampling.sample_by_class(orders, quotas, by="o_orderpriority", keys=["o_orderkey"])
 
 
 @query(
@@ -1088,23 +1104,25 @@ def formulas(spark, sf):
 # --- Splits and weights declared in settings ---------------------------------
 
 
-@query("SELECT true AS disjoint, count(*) AS rows FROM orders")
+def _split_sql(by: str, hash_: str) -> str:
+    """First the rounded share of test rows by hash, then that of val rows."""
+    share = "CAST(floor({} * count(*) OVER (PARTITION BY {}) + 0.5) AS BIGINT)"
+    test, val = share.format("CAST(0.2 AS DOUBLE)", by), share.format("CAST(0.1 AS DOUBLE)", by)
+    place = f"row_number() OVER (PARTITION BY {by} ORDER BY {hash_})"
+    return f"CASE WHEN {place} <= {test} THEN 'test' WHEN {place} <= {test} + {val} THEN 'val' ELSE 'train' END AS split"
+
+
+@query(f"SELECT o_orderkey, {_split_sql('1', _hash_sql('o_orderkey'))} FROM orders")
 def random_split(spark, sf):
-    """Shares within one point of the wanted ones, every row in exactly one slice."""
-    labels = target.split_random(stages.table(spark, sf, "orders"), ["o_orderkey"])
-    sizes = labels.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n")
-    named = F.count_if(F.col("split").isin("train", "val", "test")) == 3
-    return sizes.agg(named.alias("disjoint"), total.alias("rows"))
+    """Exact shares, row by row."""
+    return target.split_random(stages.table(spark, sf, "orders"), ["o_orderkey"]).select("o_orderkey", "split")
 
 
-@query(with_stage("labelled", "SELECT CAST(target AS INT) AS target, true AS close, count(*) AS rows FROM labelled GROUP BY 1"))
+@query(with_stage("labelled", f"SELECT id, CAST(target AS INT) AS target, {_split_sql('target', _hash_sql('target', 'id'))} FROM labelled"))
 def stratified_split(spark, sf):
+    """Exact shares of each class, row by row."""
     labels = target.split_stratified(stages.labelled(spark, sf), ["id"])
-    test = F.count_if(F.col("split") == "test") / F.count(F.lit(1))
-    return labels.groupBy(F.col("target").cast("int").alias("target")).agg(
-        (F.abs(test - 0.2) < 0.05).alias("close"), F.count(F.lit(1)).alias("rows")
-    )
+    return labels.select("id", F.col("target").cast("int").alias("target"), "split")
 
 
 @query(
