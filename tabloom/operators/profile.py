@@ -37,12 +37,15 @@ def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 def raw_profile(df: DataFrame) -> DataFrame:
     """Rows, column count and the missing ratio (0 to 1) per column, largest ratio first."""
+    return profile_of_counts(missing_counts(df), len(df.columns))
+
+
+def profile_of_counts(counts: DataFrame, columns: int) -> DataFrame:
+    """The raw profile from (column, rows, missing)."""
     ratio = F.try_divide(F.col("missing").cast("double"), F.col("rows").cast("double"))
-    return (
-        missing_counts(df)
-        .select("column", "rows", F.lit(len(df.columns)).alias("columns"), "missing", ratio.alias("missing_ratio"))
-        .orderBy(F.desc("missing_ratio"), "column")
-    )
+    return counts.select(
+        "column", "rows", F.lit(columns).alias("columns"), "missing", ratio.alias("missing_ratio")
+    ).orderBy(F.desc("missing_ratio"), "column")
 
 
 def missing_profile(df: DataFrame, *, drop_above: float = 0.60, flag_above: float = 0.20) -> DataFrame:

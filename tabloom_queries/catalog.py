@@ -15,6 +15,7 @@ from tabloom.operators.importance import permutation_importance, tree_importance
 from tabloom.plans import loan as loans
 from tabloom.plans.selection import fit_selector
 from tabloom.sources import csv, fits, tables
+from tabloom.streaming import profile as incremental
 from tabloom_queries import stages
 from tabloom_queries.stages import (
     FORMATTED_COLUMNS,
@@ -413,6 +414,17 @@ def raw_profile(spark, sf):
     return rounded(profile.raw_profile(stages.loan_view(spark, sf)))
 
 
+@query(with_stage("loan", _raw_sql("loan", LOAN_TYPES)))
+def raw_profile_incremental(spark, sf):
+    """Files arrive three times; each fold starts anew from the stored state and reads only the new ones."""
+    source, state = new_path(spark, "arrivals"), new_path(spark, "folded")
+    rows = stages.loan_view(spark, sf)
+    for arrival in range(3):
+        rows.where(F.col("id") % 3 == arrival).write.mode("append").parquet(source)
+        incremental.fold_arrivals(spark, source, rows.schema, state)
+    return rounded(incremental.stored_profile(spark, rows.schema, state))
+
+
 @query(_raw_sql("lineitem", LINEITEM_TYPES))
 def raw_profile_lineitem(spark, sf):
     return rounded(profile.raw_profile(stages.table(spark, sf, "lineitem")))

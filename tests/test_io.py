@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tabloom.functions import lineage
 from tabloom.operators.rowid import add_row_id
 from tabloom.sources import csv, fits, tables
-from tabloom.streaming.profile import running_missing_counts
+from tabloom.operators.profile import raw_profile
+from tabloom.streaming.profile import fold_arrivals, running_missing_counts, stored_profile
 
 
 @pytest.fixture
@@ -149,3 +150,29 @@ def test_running_profile(spark, tmp_path):
     )
     assert query.awaitTermination(120)
     assert {tuple(r) for r in spark.table("running_profile").collect()} == {("n", 5, 1), ("s", 5, 2)}
+
+
+def test_fold_of_arrivals(spark, tmp_path):
+    """Arrivals in several calls, nothing new, a lacking column, NaN, an empty file; each file counts once."""
+    source, state, ddl = str(tmp_path / "in"), str(tmp_path / "state"), "n int, s string, x double"
+    arrivals = [
+        spark.createDataFrame([(1, None, 1.0), (2, "a", float("nan"))], ddl),
+        spark.createDataFrame([(None, "b")], "n int, s string"),
+        spark.createDataFrame([], ddl),
+        spark.createDataFrame([(i, "z", None) for i in range(50)], ddl).repartition(4),
+    ]
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(source)
+        fold_arrivals(spark, source, ddl, state, files_per_batch=2)
+        fold_arrivals(spark, source, ddl, state)
+        whole = raw_profile(spark.read.schema(ddl).parquet(source)).collect()
+        assert stored_profile(spark, ddl, state).collect() == whole
+    assert whole[0]["missing"] == 52 and whole[0]["rows"] == 53
+
+
+def test_fold_of_csv(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("n,s\n1,x\n,y\n")
+    ddl, state = "n int, s string", str(tmp_path / "state")
+    fold_arrivals(spark, str(tmp_path / "in"), ddl, state, format="csv", options={"header": "true"})
+    assert [(r["column"], r["missing"]) for r in stored_profile(spark, ddl, state).collect()] == [("n", 1), ("s", 0)]
