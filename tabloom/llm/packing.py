@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -37,7 +38,7 @@ def tokenize(
     schema = _PIECES + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = kept_in_worker(("words", tokenizer), lambda: ChunkTable(word_encoder(tokenizer)))
+        table = kept_in_worker(("words", tokenizer), lambda: ChunkTable(word_encoder(tokenizer), 250_000))
         seen = np.zeros(capacity + 1, dtype=np.int64)
         task = TaskContext.get().partitionId()
         for batch in small(batches):
@@ -67,35 +68,27 @@ def tokenize(
 _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def word_encoder(tokenizer: str, limit: int = 300_000) -> Callable[[list[bytes]], list[list[int]]]:
+def word_encoder(tokenizer: str) -> Callable[[list[bytes]], list[list[int]]]:
     """Ids of words by a tokenizer file whose pre-tokens are letters, digits or runs of signs.
 
-    Plain words go straight to the tokenizer's merges, letters and signs apart, since its normaliser
-    and splitter leave them as they are; all other words go through the whole tokenizer.
+    Letters and signs of plain words are merged straight from their bytes, since the tokenizer's
+    normaliser and splitter leave them as they are; all other words go through the whole tokenizer.
     """
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(tokenizer)
-    merges = coder.model
-    cache: dict[str, list[int]] = {"": []}
-
-    def part(text: str) -> list[int]:
-        found = cache.get(text)
-        if found is None:
-            if len(cache) > limit:
-                cache.clear()
-                cache[""] = []
-            symbols = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_SIGNS)
-            found = cache[text] = [t.id for t in merges.tokenize(symbols)]
-        return found
+    part = _merger(tokenizer) or _by_model(coder.model)
 
     def encode(words: list[bytes]) -> list[list[int]]:
         out = []
         for coded in words:
             word = coded.decode()
+            if word.isascii() and word.isalpha():
+                out.append(part(coded.lower()))
+                continue
             plain = _PLAIN.fullmatch(word.lower()) if word.isascii() or _LATIN.fullmatch(word) else None
             if plain:
-                out.append(part(plain[1]) + part(plain[2]))
+                out.append(part(plain[1].encode()) + (part(plain[2].encode()) if plain[2] else []))
             else:
                 out.append(coder.encode(word, add_special_tokens=False).ids)
         return out
@@ -103,6 +96,71 @@ def word_encoder(tokenizer: str, limit: int = 300_000) -> Callable[[list[bytes]]
     return encode
 
 
+def _by_model(model) -> Callable[[bytes], list[int]]:
+    return lambda word: [t.id for t in model.tokenize(word.decode("latin-1").translate(_BYTE_SIGNS))]
+
+
+#: Stands behind the last byte of a word, as no byte of UTF-8 does.
+_END = b"\xff"
+
+
+def _merger(tokenizer: str) -> Callable[[bytes], list[int]] | None:
+    """Ids of a word's bytes by merging the pair whose result has the lowest rank; None if that is not the file's rule.
+
+    The end of a word is a byte of its own that joins the last byte before all other merges. The file
+    merges listed pairs; both rules agree if each token is what the listed pairs make of its own bytes.
+    """
+    import tiktoken
+
+    with open(tokenizer) as file:
+        model = json.load(file)["model"]
+    end = model.get("end_of_word_suffix")
+    signs = {chr(_BYTE_SIGNS.get(b, b)): b for b in range(256)}
+
+    def as_bytes_(token: str) -> bytes | None:
+        body, closed = (token[: -len(end)], _END) if end and token.endswith(end) and token != end else (token, b"")
+        return bytes(signs[c] for c in body) + closed if all(c in signs for c in body) else None
+
+    tokens = {b: i for t, i in model["vocab"].items() if (b := as_bytes_(t)) is not None}
+    base = [bytes([b]) for b in range(256)]
+    ended = [b + _END for b in base[:-1]]
+    pairs = {}
+    for rank, (x, y) in enumerate(model["merges"]):
+        pairs[as_bytes_(x), as_bytes_(y)] = rank
+    if not end or any(b not in tokens for b in base + ended):
+        return None
+    ranks = {b: i for i, b in enumerate(base + ended)}
+    for x, y in pairs:
+        ranks.setdefault(x + y, len(ranks))
+    if not all(_merged(token, pairs) == [token] for token in ranks if len(token) > 1):
+        return None
+    ids = [tokens[b] for b in ranks]
+    encode = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    return lambda word: [ids[r] for r in encode(word + _END)]
+
+
+def _merged(token: bytes, pairs: dict[tuple[bytes, bytes], int]) -> list[bytes]:
+    """What the listed pairs make of the bytes of a token."""
+    closed = token.endswith(_END)
+    parts = [bytes([b]) for b in token]
+    if closed:
+        parts[-2:] = [parts[-2] + _END]
+    while len(parts) > 1:
+        best = min(zip(parts, parts[1:], strict=False), key=lambda p: pairs.get(p, len(pairs)))
+        if best not in pairs:
+            break
+        joined, i = [], 0
+        while i < len(parts):
+            if tuple(parts[i : i + 2]) == best:
+                joined.append(parts[i] + parts[i + 1])
+                i += 2
+            else:
+                joined.append(parts[i])
+                i += 1
+        parts = joined
+    return parts
+
+
 #: ASCII, and the Latin-1 letters whose lower case is a Latin-1 letter too.
 _LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
