@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from tabloom.functions.lineage import materialize
 from tabloom.llm.common import U64, append_columns, small
+from tabloom.operators.sampling import hash_thresholds, row_hash
 
-#: Documents of each language, taken by a hash of their id, that the piece probabilities are fitted on. Up to a
-#: thousand Spark limits each task to its first ones before the shuffle, so that no language is a hot key.
+#: Documents of each language, those with the smallest hashes of their ids, that the piece probabilities are
+#: fitted on: a documented bound on labelled rows.
 TRAIN_DOCUMENTS = 1_000
 #: Rounds of expectation-maximisation.
 ROUNDS = 3
@@ -34,6 +35,9 @@ _BASE = U64(0x9E3779B97F4A7C15)
 def words_of(text: str) -> list[str]:
     """Runs of letters in lower case, long ones in parts."""
     found = _WORD.findall(text.lower())
+    if not all(map(str.isalpha, found)):
+        # Fractions, circled and Roman numerals are no letters.
+        found = [w for w in ("".join(filter(str.isalpha, w)) for w in found) if w]
     if any(len(w) > WORD_LETTERS for w in found):
         step = WORD_LETTERS
         found = [w[i : i + step] for w in found for i in range(0, len(w), step)]
@@ -171,7 +175,7 @@ def fit(
     """Piece probabilities of each language from labelled documents.
 
     The labels of all rows give the priors; the probabilities are fitted on at most `documents` of each
-    language, those with the smallest hash of their id. Rows without a text or label are left out. An
+    language, those with the smallest hashes of their ids. Rows without a text or label are left out. An
     empty table gives a model without languages.
     """
     spark = df.sparkSession
@@ -182,9 +186,11 @@ def fit(
     languages = [r["lang"] for r in totals]
     if not languages:
         return LanguageModel([], pieces, np.ones((len(pieces), 0)), np.empty(0))
-    first = "row_number() over (partition by lang order by xxhash64(doc_id), doc_id)"
-    chosen = labelled.select("doc_id", "lang").withColumn("k", F.expr(first)).where(F.col("k") <= documents)
-    sample = labelled.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+    # Counts of hash prefixes give each language its threshold: no language is ordered in one task.
+    hashed = labelled.withColumn("hash", row_hash(labelled, ["doc_id"]))
+    limits = hash_thresholds(hashed.select(F.col("lang").alias("class"), "hash"), {c: [documents] for c in languages})
+    own = spark.createDataFrame([(c, limit) for c, (limit,) in limits.items()], "lang string, most string")
+    sample = hashed.join(F.broadcast(own), "lang").where("most is null or hash < most")
     words = materialize(
         sample.mapInArrow(_count_words, "lang string, word string, n long")
         .groupBy("word", "lang")

@@ -289,3 +289,8 @@ def test_ids_digest_matches_contract(spark, vocabulary_path):
     for d in docs:
         ids = library.encode(d["text"] or "")
         assert rows[d["doc_id"]]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+@pytest.mark.parametrize(("text", "letters"), [("½ ² ① Ⅷ", False), ("12 _ -", False), ("½a", True), ("漢", True), ("ª", True)])
+def test_undetermined_is_a_text_without_letters(text, letters):
+    assert bool(language_id.words_of(text)) is letters is any(c.isalpha() for c in text)
