@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -62,7 +63,11 @@ def free_name(taken: Iterable[str], wanted: str) -> str:
 def small(
     batches: Iterable[pa.RecordBatch], rows: int = 2048, size: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of few rows and bytes, so that what Python makes of one stays small."""
+    """The same rows in batches of few rows and bytes, so that what Python makes of one stays small.
+
+    Behind the last one a worker, which Spark uses for later stages too, gives back what it does not use.
+    """
+    batch = part = None
     for batch in batches:
         waiting = [batch]
         while waiting:
@@ -72,6 +77,16 @@ def small(
                 waiting += [part.slice(half), part.slice(0, half)]
             elif part.num_rows:
                 yield part
+    del batch, part
+    release_memory()
+
+
+def release_memory() -> None:
+    """Return unused memory of Arrow and of the C library to the system, where they can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def append_columns(
@@ -207,6 +222,7 @@ def kept_in_worker(key: tuple, make: Callable[[], object]):
     if key not in _KEPT:
         _KEPT.clear()
         _KEPT[key] = make()
+        release_memory()
     return _KEPT[key]
 
 

@@ -41,7 +41,7 @@ def tokenize(
         table = kept_in_worker(("words", tokenizer), lambda: ChunkTable(word_encoder(tokenizer), 250_000))
         seen = np.zeros(capacity + 1, dtype=np.int64)
         task = TaskContext.get().partitionId()
-        for batch in small(batches):
+        for batch in small(batches, size=1 << 20):
             keys = batch.column(0).to_pylist()
             # ASCII white space cuts; what else is white space is the tokenizer's matter.
             flat, bounds = table.ids([(t or b"").split() for t in as_bytes(batch.column(1))])
