@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -280,6 +281,56 @@ def test_html_templates(spark, words):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*|/)?)>|<[!?][^>]*>", re.S
+)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["<a", "<B ", "</a", "<!--", "-->", "<!", "<?", ">", "/>", "'", '"', " ", "x", "<", "="]), max_size=30))
+def test_html_tags_equal_a_plain_pattern(parts):
+    page = "".join(parts)
+    want = [(m.start(), m.end(), m[1] or "", (m[2] or "").lower(), m[3] or "") for m in TAG.finditer(page)]
+    tags, at, got = html_extract._Tags(page), 0, []
+    while found := tags.after(at):
+        got.append(found)
+        at = found[1]
+    assert got == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("article main section div p li td b".split()), st.booleans(), st.integers(0, 9)), max_size=30))
+def test_html_article_equals_plain_weighing(parts):
+    page = "".join(f"<{'/' * closes}{tag}>" + "y" * n for tag, closes, n in parts)
+    _, blocks = html_extract.parse(page)
+
+    def above(node):
+        return [] if node is None else [*above(node.parent), node]
+
+    weights = Counter()
+    order = {}
+    for b in blocks:
+        for node in above(b.node):
+            weights[id(node)] += len(b.text)
+            order.setdefault(id(node), node)
+    total = sum(len(b.text) for b in blocks)
+    named = [n for n in order.values() if n.tag in ("article", "main")]
+    best = max(named, key=lambda n: (weights[id(n)], len(above(n))), default=None)
+    if best is None or 2 * weights[id(best)] < total:
+        fits = [n for n in order.values() if n.tag in html_extract.CONTAINERS and weights[id(n)] >= 0.8 * total]
+        best = max(fits, key=lambda n: len(above(n)), default=None)
+    want = [b.text for b in blocks if best is None or any(n is best for n in above(b.node))]
+    assert html_extract.main_blocks(blocks, set(), set()) == want
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 20_000, "<p>" * 100_000 + "x", "<a '" * 250_000, "<a \"'" * 200_000, "<a " * 330_000, "<! " * 330_000])
+def test_html_of_hostile_pages_takes_linear_time(page):
+    begin = time.process_time()
+    _, blocks = html_extract.parse(page)
+    assert html_extract.main_blocks(blocks, set(), set())
+    assert time.process_time() - begin < 10
+
+
 def test_ids_digest_matches_contract(spark, vocabulary_path):
     from tabloom.llm import queries
 
