@@ -174,6 +174,90 @@ def test_license_suppression():
     assert len(license_scan.rules()) > 300
 
 
+def brute_detections(words):
+    """All rules over all places without any gate, then each detection against every other one."""
+    line = " " + " ".join(words) + " "
+    rules = _CACHE.get("rules") or _CACHE.setdefault(
+        "rules", [(r.label, r.priority, re.compile(r.pattern.pattern.decode())) for r in license_scan.rules()]
+    )
+    found = []
+    for label, priority, pattern in rules:
+        for m in pattern.finditer(line):
+            first = line[: m.start()].count(" ") - 1
+            found.append((first, first + len(m[0].split()), label, priority))
+
+    def beats(k, d):
+        inside = k[0] <= d[0] and d[1] <= k[1]
+        return inside and (k[3] > d[3] or k[3] == d[3] and ((k[0], k[1]) != (d[0], d[1]) or k[2] < d[2]))
+
+    return {d for d in found if not any(beats(k, d) for k in found)}
+
+
+LICENSE_WORDS = (
+    "the gnu lesser affero general public license licence gpl gplv3 lgpl mit apache bsd 2 3 0 1 v v2 version or at your "
+    "option any later only spdx identifier licensed under terms of a as published by free software foundation either "
+    "creative commons cc by sa nc mozilla 4 clause all rights reserved copyright 2020 domain public in x"
+).split()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(LICENSE_WORDS), max_size=40))
+def test_license_detections_equal_brute_force(words):
+    scanner = _CACHE.get("scanner") or _CACHE.setdefault("scanner", license_scan.Scanner())
+    _, found = scanner.scan([w.encode() for w in words])
+    got = [(d.first, d.end, d.label, d.priority) for d in found]
+    assert len(got) == len(set(got)) and set(got) == brute_detections(words)
+
+
+def _written(pattern):
+    """A text that a pattern without nested groups takes: first choices, nothing optional."""
+    before = None
+    while before != pattern:
+        before = pattern
+        pattern = re.sub(r"\(\?:[^()]*\)(\?|\{0,\d+\}\?)", "", pattern)
+        pattern = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)(?:\{1,\d+\}\?)?", r"\1", pattern)
+    pattern = re.sub(r"\[\^ \]\+", "word", pattern).replace("(?:19|20)[0-9]{2}", "2020")
+    pattern = re.sub(r"\[0-9\]\{2\}", "20", pattern)
+    return " ".join(re.sub(r".\?", "", re.sub(r"\[(.)[^\]]*\]", r"\1", pattern)).split())
+
+
+@pytest.mark.parametrize("statement", license_scan.STATEMENTS, ids=lambda s: s[3][:30])
+def test_license_statements_are_found(statement):
+    label, _, _, pattern = statement
+    words = f"x {_written(pattern)} y".split()
+    scanner = _CACHE.get("scanner") or _CACHE.setdefault("scanner", license_scan.Scanner())
+    _, found = scanner.scan([w.encode() for w in words])
+    assert {(d.first, d.end, d.label, d.priority) for d in found} == brute_detections(words)
+    assert any(re.fullmatch(pattern, " ".join(words[i:j])) for i in range(2) for j in range(i + 1, len(words)))
+    assert any(d.label == label or d.first <= 1 for d in found)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("either GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+         "License, or (at your option) any later version.", "gpl-3.0-or-later"),
+        ("GPL-2.0 or (at your option) any later version", "gpl-2.0-or-later"),
+        ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0-only"),
+        ("SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl-2.1-or-later"),
+        ("see https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa-4.0"),
+        ("under GPLv3", "gpl-3.0"),
+    ],
+)
+def test_license_versions(text, label):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    _, found = license_scan.Scanner().scan([w.encode() for w in words])
+    assert [d.label for d in found] == [label]
+
+
+@pytest.mark.parametrize("part", ["mit license ", "gpl 2 0 or at your option any later version ", "neither the name of ", "gnu "])
+def test_license_scan_of_long_texts_takes_linear_time(part):
+    words = (part * (1_000_000 // len(part))).encode().split()
+    begin = time.process_time()
+    license_scan.Scanner().scan(words)
+    assert time.process_time() - begin < 10
+
+
 def test_quality_counts(spark, documents, empty, tricky):
     rows = {r["doc_id"]: r for r in quality_rules.quality_filter(documents).collect()}
     for doc_id, text, *_ in tricky:
