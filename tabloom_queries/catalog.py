@@ -1469,7 +1469,43 @@ def grouped_auc(spark, sf):
     return rounded(importance.grouped_auc(scored, ["status"]))
 
 
-# The tree steps have no SQL twin: boosted trees and forests are iterative.
+#: Columns of few values, and the rows' labels, each decided by one of them alone.
+_SHORT = ["l_discount", "l_tax", "l_linenumber"]
+_PLANTED = {"l_discount": "l_discount >= 0.06", "l_linenumber": "l_linenumber <= 2"}
+#: A column decides the label if no value of it has both labels.
+_DECIDES_SQL = union(
+    f"""SELECT '{by}' AS planted, '{c}' AS "column", CAST(CASE WHEN max(labels) = 1 THEN {{hit}} ELSE 0 END AS DOUBLE) AS importance
+    FROM (SELECT count(DISTINCT {test}) AS labels FROM lineitem GROUP BY {c}) t"""
+    for by, test in _PLANTED.items()
+    for c in _SHORT
+)
+
+
+def _planted(spark, sf, measure: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The importance of each short column for each label."""
+    lines = stages.table(spark, sf, "lineitem").select(*_SHORT)
+    found = None
+    for by, test in _PLANTED.items():
+        scores = measure(lines.withColumn("target", F.expr(test).cast("int")))
+        scores = scores.select(F.lit(by).alias("planted"), "column", "importance")
+        found = scores if found is None else found.unionAll(scores)
+    return found
+
+
+@query(_DECIDES_SQL.format(hit="1.0"))
+def tree_importance_planted(spark, sf):
+    """Trees give all importance to the column that decides the label."""
+    return rounded(_planted(spark, sf, lambda df: tree_importance(df, _SHORT, trees=10)))
+
+
+@query(_DECIDES_SQL.format(hit="0.5"))
+def permutation_importance_planted(spark, sf):
+    """A forest that reads a shuffled column that decides the label guesses: it loses half of the area, to a tenth."""
+    measure = lambda df: permutation_importance(df, _SHORT, trees=20).withColumnRenamed("importance_mean", "importance")
+    return rounded(_planted(spark, sf, measure), 1)
+
+
+# On the loan table the tree steps have no SQL twin: boosted trees and forests are iterative.
 
 
 @query()
@@ -1495,8 +1531,81 @@ def selection_full(spark, sf):
     return rounded(csv.read_csv_table(spark, f"{folder}/feature_selection_report.csv", schema=schema))
 
 
-@query()
+# The chain in SQL, each step over all rows with its fits from the train years. The lists of columns are what
+# the missing-value advice (see missing_profile) gives for these tables.
+_IN_TRAIN = f"WHERE issue_d_year <= {stages.TRAIN_UNTIL}"
+_FILLED = ["mths_since_recent_inq", "annual_inc", "revol_util", *(f"earliest_cr_line_{p}" for p in ("year", "month", "months_since"))]
+_FILLED_TEXT = ["home_ownership", "emp_length"]
+_FLAGGED = ["mths_since_recent_inq", "home_ownership"]
+_GAPS_LEFT = ["installment_to_income", "revol_bal_to_income", "revol_usage_ratio", "open_acc_ratio"]
+
+
+def _between(c: str, low: str | float | None, high: str | float | None) -> str:
+    """A value within bounds, NULL where it is NULL."""
+    tests = [(f"< {low}", low)] * (low is not None) + [(f"> {high}", high)] * (high is not None)
+    return "CASE " + " ".join(f"WHEN {c} {test} THEN {to}" for test, to in tests) + f" ELSE {c} END"
+
+
+def _clipped_sql() -> str:
+    parts = []
+    for c in dict.fromkeys([*CLIPPED, *loans.DOMAIN_RULES]):
+        value = _d(c)
+        if c in CLIPPED:
+            value = _d(_float(_between(c, f"(SELECT {c}_low FROM bounds)", f"(SELECT {c}_high FROM bounds)")))
+        parts.append(f"{_d(_float(_between(value, *loans.DOMAIN_RULES.get(c, (None, None))))) if c in loans.DOMAIN_RULES else value} AS {c}")
+    return f"SELECT * REPLACE ({', '.join(parts)}) FROM filled"
+
+
+_PREPARED = {
+    "filled": "SELECT * EXCLUDE (mths_since_last_delinq) REPLACE ("
+    + ", ".join(
+        [f"coalesce({c}, CAST({_median_sql(c)} AS {'FLOAT' if FORMATTED_TYPES[c] == 'float' else 'DOUBLE'})) AS {c}" for c in _FILLED]
+        + [f"coalesce({c}, {_mode_sql(c)}) AS {c}" for c in _FILLED_TEXT]
+    )
+    + "), "
+    + ", ".join(_flag(f"{c} IS NULL", f"{c}_MISSING") for c in _FLAGGED)
+    + " FROM formatted",
+    "bounds": "SELECT "
+    + ", ".join(
+        f"{_bounds_sql(c)[k].replace('FROM train', f'FROM filled {_IN_TRAIN}')} AS {c}_{end}"
+        for c in CLIPPED
+        for k, end in enumerate(("low", "high"))
+    ),
+    "clipped": _clipped_sql(),
+    "featured": f"SELECT *, {', '.join(f'{_float(e)} AS {n}' for n, e in MADE.items())}, "
+    + ", ".join(
+        f'{_float(e)} AS "{c}_LOG"'
+        for c in loans.LOG_COLUMNS
+        for shifted in [f"({c} + {SHIFT_SQL.format(c=c).replace('FROM train', f'FROM clipped {_IN_TRAIN}')})"]
+        for e in [f"CASE WHEN {shifted} > -1 THEN ln(1 + {shifted}) END"]
+    )
+    + " FROM clipped",
+}
+_PREPARED_NUMBERS = [
+    c for c in [*FORMATTED_NUMBERS, *MADE, *(f"{c}_LOG" for c in loans.LOG_COLUMNS)] if c != "mths_since_last_delinq"
+]
+
+
+def _prepared_sql(c: str) -> str:
+    if FORMATTED_TYPES.get(c) in ("int", "bigint"):
+        return c
+    if c in _GAPS_LEFT:
+        return r(f"coalesce({c}, CAST({_median_sql(c, f'featured {_IN_TRAIN}')} AS FLOAT))", c)
+    return r(c, f'"{c}"')
+
+
+@query(
+    with_stage(
+        "train",
+        "SELECT CAST(target AS INT) AS target, "
+        + ", ".join([_prepared_sql(c) for c in _PREPARED_NUMBERS] + [r(_ordinal_sql(c), c) for c in ("grade", "term", "emp_length")])
+        + f", {HOME_SQL}, {PURPOSE_SQL}, "
+        + ", ".join(f'"{c}_MISSING"' for c in _FLAGGED)
+        + " FROM featured",
+        **_PREPARED,
+    )
+)
 def prepared_table(spark, sf):
     """The whole chain: fits on train, one lazy projection over every labelled row."""
     prep = loans.fit_preparation(stages.train(spark, sf), clip=CLIPPED, rules=RULES)
-    return rounded(prep.apply(stages.formatted(spark, sf)))
+    return rounded(_ints(prep.apply(stages.formatted(spark, sf))))
