@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,11 @@ MARGIN = 5
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 #: Pairs that read one copy of a set.
 PAIRS_PER_COPY = 2_000
-#: Shingles, counted for each pair, of a block in which pairs are verified together.
-BLOCK_SHINGLES = 4_000_000
+#: Shingles of a block in which sets are compared.
+BLOCK_SHINGLES = 1_000_000
+
+# What a document does in a block of sets.
+LEADER, QUERY, ROW = 0, 1, 2
 
 #: Odd multipliers, one for each register.
 _FACTORS = (mix(np.arange(1, REGISTERS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) >> U64(32)).astype(
@@ -160,11 +163,8 @@ def _copies_join(pairs: DataFrame, table: DataFrame, key: str, name: str) -> Dat
     return dealt.drop("copies").join(copied, [key, "copy"]).drop("copy")
 
 
-def _verify(pairs: DataFrame, registers: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose full sets have percent * union <= 100 * intersection.
-
-    First by estimate on the registers, which gives up only pairs far below; then on the sets.
-    """
+def _near(pairs: DataFrame, registers: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b that are alike by estimate on their registers, which gives up only pairs far below."""
     least = lowest_estimate(percent)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,20 +179,8 @@ def _verify(pairs: DataFrame, registers: DataFrame, sets: DataFrame, percent: in
                 [c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"]
             )
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches, 64):
-            xs, ys = (c.field("shingles").to_pylist() for c in batch.columns[2:4])
-            read = [(np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)) for x, y in zip(xs, ys, strict=True)]
-            keep = [_linked(x, y, percent) for x, y in read]
-            yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"]
-            )
-
-    found = pairs
-    for table, check, label in ((registers, near, "near-pairs"), (sets, exact, "links")):
-        rows = _copies_join(_copies_join(found, table, "a", "x"), table, "b", "y")
-        found = materialize(rows.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), label)
-    return found
+    rows = _copies_join(_copies_join(pairs, registers, "a", "x"), registers, "b", "y")
+    return materialize(rows.select("a", "b", "x", "y").mapInArrow(near, "a long, b long"), "near-pairs")
 
 
 def _table(column: pa.Array) -> np.ndarray:
@@ -218,14 +206,16 @@ def _numbers(column: str):
     return F.explode(F.expr(f"sequence(0L, {column} - 1L)"))
 
 
-def _across(members: DataFrame, component: DataFrame, registers: DataFrame, percent: int, total: int) -> DataFrame:
-    """Pairs from different components that share a bucket and whose registers look alike.
+def _across(members: DataFrame, cluster: DataFrame, registers: DataFrame, percent: int, total: int) -> DataFrame:
+    """Pairs that connect different clusters, share a bucket and have registers that look alike.
 
-    In a bucket with several components the documents outside the largest one are queries against all
-    of its documents, in blocks of bounded size. A pair is handled in the first band that it shares.
+    In a bucket with several clusters the documents outside the largest one are queries against all
+    of its documents, in blocks of bounded size. A pair is handled in the first band that it shares. Of
+    the pairs of a block only such are returned as connect what no other has connected: fewer than it has
+    documents.
     """
     least = lowest_estimate(percent)
-    placed = members.join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = members.join(cluster.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
     placed = materialize(placed, "placed")
     by_component = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
@@ -256,82 +246,157 @@ def _across(members: DataFrame, component: DataFrame, registers: DataFrame, perc
 
     def compare(table: pa.Table) -> pa.Table:
         is_query = np.asarray(table["query"])
-        ids, component, n = (np.asarray(table[c]) for c in ("doc_id", "component", "n_shingles"))
+        ids, n = (np.asarray(table[c]) for c in ("doc_id", "n_shingles"))
+        label = np.asarray(table["component"]).copy()
         values = _table(table["registers"].combine_chunks())
         band = table["band"][0].as_py()
         plain = np.flatnonzero(~is_query)
-        found: list[list[np.ndarray]] = []
+        found = []
         for q in np.flatnonzero(is_query):
-            own = plain[(component[plain] != component[q]) & (ids[plain] != ids[q])]
+            own = plain[label[plain] != label[q]]
             own = own[100 * np.minimum(n[own], n[q]) >= percent * np.maximum(n[own], n[q])]
             if not len(own):
                 continue
             equal = values[own] == values[q]
             similar = estimate(equal.sum(axis=1), n[own], np.full(len(own), n[q]))
             first = equal.reshape(-1, BANDS, BAND_REGISTERS).all(axis=2).argmax(axis=1)
-            keep = (similar >= least) & (first == band)
-            own, like = own[keep], np.full(int(keep.sum()), q)
-            a, b = np.where(ids[own] < ids[q], own, like), np.where(ids[own] < ids[q], like, own)
-            found.append([ids[a], ids[b], component[a], component[b], n[own] + n[q], similar[keep]])
-        columns = zip(*found, strict=True) if found else [[np.empty(0, dtype=np.int64)]] * 6
-        names = ["a", "b", "component_a", "component_b", "shingles", "similar"]
-        made = dict(zip(names, map(np.concatenate, columns), strict=True))
-        return pa.table(made | {"similar": made["similar"].astype(np.float64)})
+            found += _connect(label, q, own[(similar >= least) & (first == band)])
+        return _pairs(ids, found)
 
-    schema = "a long, b long, component_a long, component_b long, shingles long, similar double"
-    return both.groupBy("key", "q", "r").applyInArrow(compare, schema).dropDuplicates(["a", "b"])
+    return both.groupBy("key", "q", "r").applyInArrow(compare, "a long, b long")
 
 
-def _verify_blocks(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links a, b that connect components; pairs whose components are connected already are passed over.
+def _connect(label: np.ndarray, q: int, others: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs of q with those others that have another label still; each time the labels become one."""
+    found = []
+    for x in others.tolist():
+        if label[x] != label[q]:
+            label[label == label[x]] = label[q]
+            found.append((q, x))
+    return found
 
-    In a dense group documents have very many pairs, so pairs are dealt into blocks of a grid, by a and
-    within a row of the grid by b, and each block gets every set that it needs once. The number of blocks
-    follows the shingles to be read. The most similar pairs of a block come first.
-    """
-    pairs = materialize(pairs, "open-pairs")
-    weight = pairs.agg(F.sum("shingles")).first()[0] or 0
-    rows = max(1, int(np.ceil(np.sqrt(weight / BLOCK_SHINGLES))))
-    placed = pairs.withColumn("r", F.pmod(F.xxhash64("a"), F.lit(rows)))
-    blocks = placed.groupBy("r").agg(F.ceil(F.sum("shingles") / BLOCK_SHINGLES).cast("long").alias("blocks"))
-    placed = placed.join(blocks, "r").withColumn("c", F.pmod(F.xxhash64("b", F.lit(1)), F.col("blocks")))
-    placed = materialize(placed.drop("blocks", "shingles"), "placed-pairs")
-    needed = placed.select("r", "c", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    values = needed.join(sets, "doc_id").withColumnRenamed("doc_id", "a")
-    both = placed.unionByName(values, allowMissingColumns=True)
 
-    def verify(table: pa.Table) -> pa.Table:
-        has_set = np.asarray(table["shingles"].is_valid())
-        held = table.filter(pa.array(has_set))
-        known = {k: np.frombuffer(v, dtype=U64) for k, v in zip(*_lists(held, "a", "shingles"), strict=True)}
-        open_pairs = table.filter(pa.array(~has_set)).sort_by([("similar", "descending")])
-        parent: dict[int, int] = {}
+def _pairs(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
+    at = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": ids[at[:, 0]], "b": ids[at[:, 1]]})
 
-        def root(x: int) -> int:
-            while (up := parent.get(x, x)) != x:
-                x = up
-            return x
 
-        links = []
-        for a, b, x, y in zip(*_lists(open_pairs, "a", "b", "component_a", "component_b"), strict=True):
-            x, y = root(x), root(y)
-            if x != y and _linked(known[a], known[b], percent):
-                parent[max(x, y)] = min(x, y)
-                links.append((a, b))
-        found = np.array(links, dtype=np.int64).reshape(-1, 2)
-        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+def links_among(sets: list[np.ndarray], role: np.ndarray, label: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Places of linked sets that connect the labels of a block; `label` becomes the components.
 
-    return both.groupBy("r", "c").applyInArrow(verify, "a long, b long")
+    Roles are LEADER (first, at most one), QUERY and ROW. Queries are compared with all sets, on all of
+    their elements; those that are connected to the leader already need not be.
+    """
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    marked = np.zeros(len(numbers), dtype=bool)
+    found: list[tuple[int, int]] = []
+    for q in np.flatnonzero(role != ROW).tolist():
+        if q and role[0] == LEADER and label[q] == label[0]:
+            continue
+        fits = 100 * np.minimum(sizes, sizes[q]) >= percent * np.maximum(sizes, sizes[q])
+        others = np.flatnonzero(fits & (label != label[q]))
+        if not len(others):
+            continue
+        own = numbers[starts[q] : ends[q]]
+        marked[own] = True
+        if len(others) <= 32:
+            shared = np.array([np.count_nonzero(marked[numbers[starts[x] : ends[x]]]) for x in others])
+        else:
+            shared = np.add.reduceat(marked[numbers], starts, dtype=np.int64)[others]
+        marked[own] = False
+        linked = 100 * shared >= percent * (sizes[others] + sizes[q] - shared)
+        found += _connect(label, q, others[linked])
+    return found
 
 
-def _lists(table: pa.Table, *names: str) -> list[list]:
-    return [table[n].to_pylist() for n in names]
+def _links(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Links a, b among the sets that `placed` brings together: doc_id, block, cluster, part, role, component."""
+    fields = ["doc_id", "cluster", "part", "role", "component", "shingles"]
 
+    def verify(table: pa.Table) -> pa.Table:
+        table = table.select(fields).sort_by([(c, "ascending") for c in ("cluster", "part", "role", "doc_id")])
+        ids, cluster, part, role, component = (np.asarray(table[c]) for c in fields[:5])
+        new = (cluster[1:] != cluster[:-1]) | (part[1:] != part[:-1])
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(ids)]
+        out = [_pairs(ids[:0], [])]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            # A document that is there twice, as query and row, is a query.
+            at = a + np.sort(np.unique(ids[a:b], return_index=True)[1])
+            if len(at) > 1:
+                own = [np.frombuffer(x.as_buffer(), dtype=U64) for x in table["shingles"].take(pa.array(at))]
+                out.append(_pairs(ids[at], links_among(own, role[at], component[at], percent)))
+        return pa.concat_tables(out)
+
+    joined = sets.join(maybe_broadcast(placed), "doc_id").select("block", *fields)
+    return materialize(joined.groupBy("block").applyInArrow(verify, "a long, b long"), "links")
+
+
+def _blocks(placed: DataFrame) -> DataFrame:
+    """Deal the parts of all clusters over blocks, whose number follows the shingles in them."""
+    weight = placed.agg(F.sum("n_shingles")).first()[0] or 0
+    number = F.lit(max(1, int(np.ceil(weight / BLOCK_SHINGLES))))
+    return materialize(placed.withColumn("block", F.pmod(F.xxhash64("cluster", "part"), number)), "placed")
+
+
+def _verify_clusters(
+    members: DataFrame, cluster: DataFrame, registers: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int
+) -> DataFrame:
+    """Links a, b, confirmed on full sets, that connect all linked documents of each cluster.
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    joined = np.sort(np.concatenate([x, y]))
-    shared = int(np.count_nonzero(joined[1:] == joined[:-1]))
-    return 100 * shared >= percent * (len(joined) - shared)
+    Any link is within a cluster. A cluster of at most BLOCK_SHINGLES shingles is one part, in which each
+    set is once. A larger one is dealt into parts that all have its most central document, with most company
+    in all buckets; then what lies in different components of such a cluster is compared in a grid of blocks.
+    """
+    company = members.groupBy("doc_id").agg(F.sum("n").alias("company"))
+    documents = cluster.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    documents = documents.join(registers.select("doc_id", "n_shingles"), "doc_id").join(company, "doc_id")
+    documents = materialize(documents, "cluster-documents")
+    total = documents.count()
+    parts = F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("long")
+    clusters = documents.groupBy("cluster").agg(
+        F.count("*").alias("n"), parts.alias("parts"), F.max(F.struct("company", -F.col("doc_id"))).alias("top")
+    )
+    clusters = clusters.select("cluster", "n", "parts", (-F.col("top.col2")).alias("leader"))
+    clusters = materialize(clusters, "cluster-sizes")
+    placed = join_groups(documents.drop("company"), clusters, ["cluster"], "n", total)
+    leads = F.col("doc_id") == F.col("leader")
+    own_part = F.array(F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    placed = placed.select(
+        "doc_id",
+        "cluster",
+        "n_shingles",
+        F.when(leads, LEADER).otherwise(QUERY).alias("role"),
+        F.col("doc_id").alias("component"),
+        F.explode(F.when(leads, F.expr("sequence(0L, parts - 1L)")).otherwise(own_part)).alias("part"),
+    )
+    sets = sets_of(documents.select("doc_id"))
+    links = _links(sets, _blocks(placed), percent)
+    large = clusters.where("parts > 1")
+    if large.isEmpty():
+        return links
+
+    component = materialize(connected_components(links), "part-components")
+    open_rows = join_groups(documents.drop("company"), large.drop("leader"), ["cluster"], "n", total)
+    open_rows = open_rows.join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    open_rows = materialize(open_rows.withColumn("component", F.coalesce("component", "doc_id")), "open-rows")
+    sizes = open_rows.groupBy("cluster", "component").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("own"))
+    sizes = sizes.groupBy("cluster").agg(F.max(F.struct("c", "component", "own")).alias("main"), F.sum("own").alias("all"))
+    query_parts = F.ceil((F.col("all") - F.col("main.own")) / BLOCK_SHINGLES).cast("long")
+    sizes = sizes.select("cluster", F.col("main.component").alias("main"), query_parts.alias("query_parts"))
+    # One row for each cluster of more than BLOCK_SHINGLES.
+    open_rows = open_rows.join(F.broadcast(sizes.where("query_parts > 0")), "cluster")
+    row = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
+    query = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("query_parts"))
+    fields = ["doc_id", "cluster", "n_shingles", "component"]
+    rows = open_rows.select(*fields, F.lit(ROW).alias("role"), row.alias("i"), "query_parts", _numbers("query_parts").alias("j"))
+    queries = open_rows.where("component != main").select(
+        *fields, F.lit(QUERY).alias("role"), _numbers("parts").alias("i"), "query_parts", query.alias("j")
+    )
+    placed = rows.unionByName(queries).withColumn("part", F.col("i") * F.col("query_parts") + F.col("j"))
+    return links.union(_links(sets, _blocks(placed.drop("i", "j", "query_parts")), percent))
 
 
 def near_duplicates(
@@ -345,9 +410,10 @@ def near_duplicates(
     are rows of one document. Empty in, empty out.
 
     Documents with equal sets form a class, of which only the smallest doc_id goes on. Classes that
-    agree in a band of registers meet in a bucket: first each member with the most central one, then
-    whatever still lies in different components of a bucket, in blocks. Every link between classes that
-    share a band is thus either found or already implied by the components.
+    agree in a band of registers meet in a bucket; those whose registers look alike form clusters: first each
+    member with the most central one, then whatever still lies in different clusters of a bucket, in blocks.
+    Every link between classes that share a band is thus within a cluster. There full sets are compared,
+    each sent to one block unless its cluster is a large one, and only links that connect are kept.
     """
     scanned = materialize(_scan(df, words, doc_id, text, with_set=False), "registers")
     total = scanned.count()
@@ -366,16 +432,19 @@ def near_duplicates(
     wanted = materialize(members.select("doc_id").distinct(), "candidates")
     wanted = maybe_broadcast(wanted)
     registers = materialize(documents.join(wanted, "doc_id", "left_semi"), "candidate-registers")
-    candidates = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = _scan(candidates.join(wanted, "doc_id", "left_semi"), words, "doc_id", "text", with_set=True)
-    sets = materialize(sets.dropDuplicates(["doc_id"]).drop("n_shingles"), "candidate-sets")
+    alike = _near(_stars(members, rows), registers, percent)
+    cluster = materialize(connected_components(alike), "clusters")
+    more = materialize(_across(members, cluster, registers, percent, rows), "more-alike")
+    if not more.isEmpty():
+        cluster = materialize(connected_components(alike.union(more)), "clusters")
+    texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    links = _verify(_stars(members, rows), registers, sets, percent)
+    def sets_of(some: DataFrame) -> DataFrame:
+        found = texts.join(maybe_broadcast(some), "doc_id", "left_semi")
+        return _scan(found, words, "doc_id", "text", with_set=True).drop("n_shingles")
+
+    links = _verify_clusters(members, cluster, registers, sets_of, percent)
     component = materialize(connected_components(links), "components")
-    across = _across(members, component, registers, percent, rows)
-    more = materialize(_verify_blocks(across, sets, percent), "more-links")
-    if not more.isEmpty():
-        component = materialize(connected_components(links.union(more)), "components")
 
     joined = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left")
     joined = joined.select("digest", "size", F.coalesce("component", "rep").alias("component"))

@@ -123,6 +123,52 @@ def test_near_duplicates(spark, documents, empty, tricky, words, monkeypatch, si
         assert minhash.near_duplicates(empty).count() == 0
 
 
+def edited_copies(words, count, most):
+    """Copies of two texts with a few words replaced, and the components of their exact links."""
+    rows, sets = [], {}
+    for i in range(count):
+        rng = np.random.default_rng(i)
+        own = words(910 + i % 2, 120).split()
+        for at in rng.choice(120, rng.integers(0, most), replace=False):
+            own[at] = f"z{i}q{at}"
+        rows.append((i, " ".join(own)))
+        sets[i] = set(zip(own, own[1:], strict=False))
+    linked = [
+        (a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    return rows, linked, components(sets, linked)
+
+
+@pytest.mark.parametrize(("shingles", "small"), [(1_000_000, 200_000), (1_000, 200_000), (300, 1)])
+def test_large_clusters(spark, words, monkeypatch, shingles, small):
+    """Clusters that are dealt into parts give the components of all pairs, also where the leader is in few links."""
+    monkeypatch.setattr(common, "SMALL_ROWS", small)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+    rows, linked, want = edited_copies(words, 60, 16)
+    assert len(set(want.values())) > 4 and len(linked) > 50
+    df = spark.createDataFrame(rows + rows[:5], "doc_id long, text string").repartition(3)
+    found = minhash.near_duplicates(df, words=2).collect()
+    assert len(found) == 65 and all(r["component_id"] == want[r["doc_id"]] for r in found)
+
+
+def test_pairs_of_a_group_grow_with_its_documents(spark, words, monkeypatch):
+    """No table of all alike pairs of a group is written."""
+    rows, linked, want = edited_copies(words, 120, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    across, stars, counts = minhash._across, minhash._stars, []
+
+    def counted(*args):
+        found = across(*args)
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(minhash, "_stars", lambda members, total: stars(members, total).limit(0))
+    monkeypatch.setattr(minhash, "_across", counted)
+    found = minhash.near_duplicates(df, words=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+    assert len(linked) > 3000 and counts[0] < 1000
+
+
 def test_estimate_corrects_collisions():
     rng = np.random.default_rng(5)
     for shared, own in ((400, 50), (100, 400), (0, 500)):
