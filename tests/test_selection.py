@@ -137,6 +137,25 @@ def test_importances_find_the_signal(train):
     assert {r["column"] for r in shuffled} == set(columns)
 
 
+def test_trees_read_equal_rows_once(spark, monkeypatch):
+    """Importances are those of all rows; what the trees read does not grow with repeated rows."""
+    rows = [(i % 7, float(i % 11) if i % 5 else None, int(i % 7 < 3 or i % 11 > 8)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b double, target int")
+    stored, written = importance.materialize, {}
+
+    def counted(frame, label="table"):
+        found = stored(frame, label)
+        written[label] = found.count()
+        return found
+
+    monkeypatch.setattr(importance, "materialize", counted)
+    merged = {r["column"]: r["importance"] for r in importance.tree_importance(df, ["a", "b"], trees=3, depth=3).collect()}
+    assert written["tree-input"] == len(set(rows)) < 200
+    monkeypatch.setattr(importance, "DISTINCT_ROWS", 10)
+    plain = {r["column"]: r["importance"] for r in importance.tree_importance(df, ["a", "b"], trees=3, depth=3).collect()}
+    assert written["tree-input"] == 3000 and merged == pytest.approx(plain)
+
+
 def test_funnel(spark, train, tmp_path):
     chosen = fit_selector(train, SelectorSettings(exclude=("id",)), importance_trees=5, run_permutation=False)
     assert chosen.dropped["missing"] == ["holes"]
