@@ -1,6 +1,9 @@
 """Operators on single documents against the libraries or plain Python."""
 
+import bisect
 import hashlib
+import itertools
+import random
 import re
 import time
 import zlib
@@ -415,6 +418,83 @@ def test_html_of_hostile_pages_takes_linear_time(page):
     assert time.process_time() - begin < 10
 
 
+def test_html_text_behind_a_line_break_lies_in_its_own_element():
+    _, blocks = html_extract.parse("<div><p>a</p></div><section><br>b</section>")
+    assert [(b.node.tag, b.text, b.place) for b in blocks] == [("p", "a", 2), ("section", "b", 6)]
+
+
+def test_html_slots_of_the_host_outweigh_one_page(spark, words):
+    # On page 9 another element holds most of the text; no element has the name of an article.
+    page = "<body><div class=lead><p>{}</p></div><div class=story><p>{}</p><p>{}</p></div><div class=end><p>{}</p></div>"
+    rows = [(i, f"https://a.example/{i}", page.format(words(i, 3), words(i + 20, 60), words(i + 40, 9), words(i + 60, 2))) for i in range(9)]
+    rows.append((9, "https://a.example/9", page.format(words(9, 80), words(29, 4), words(49, 3), words(69, 2))))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    text = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert text == {i: f"{words(i + 20, 60)}\n\n{words(i + 40, 9)}" if i < 9 else f"{words(29, 4)}\n\n{words(49, 3)}" for i in range(10)}
+
+
+def read_templates(spark, pages):
+    """The template of each host of (host, html) rows, and where each of its classes occurs on each page."""
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_key long, host string, html string")
+    templates = {r["host"]: r.asDict(True) for r in html_extract.host_templates(df.repartition(4)).collect()}
+    found = {host: [] for host in templates}
+    for host, page in pages:
+        stream = html_extract.page_stream(*html_extract.parse(page))[0].tolist()
+        places = {}
+        for at, cls, place in html_extract.Template(templates[host]["template"]).follow(stream).found:
+            places.setdefault(cls, []).append((at, place))
+        found[host].append(places)
+    return templates, found
+
+
+def test_html_tokens_are_told_by_their_slot(spark):
+    page = "<body><p>{}</p><div class=x><b>{}</b></div><p>{}</p><p>{}</p></body>"
+    templates, _ = read_templates(spark, [("h", page.format(*[f"{i} {j}" for j in range(4)])) for i in range(5)])
+    tokens = Counter((r["level"], r["class"]) for r in templates["h"]["template"])
+    # The paragraphs in front of the div and those behind it are two classes inside the template of the rest.
+    assert sorted((level, n) for (level, _), n in tokens.items()) == [(0, 6), (1, 2), (1, 2)]
+
+
+def test_html_classes_are_in_order_and_nested_on_every_page(spark):
+    dice = random.Random(5)
+
+    def part(depth):
+        name = dice.choice("abcdef")
+        inner = "".join(part(depth + 1) for _ in range(dice.randint(0, 2))) if depth < 3 else ""
+        return f"<div class={name}><p>{dice.choice(['x', 'y', dice.random()])}</p>{inner}</div>"
+
+    pages = []
+    for host in range(40):
+        shared = [part(1) for _ in range(4)]
+        for _ in range(6):
+            own = [x for x in shared if dice.random() < 0.8] + [part(1) for _ in range(dice.randint(0, 2))]
+            if dice.random() < 0.3:
+                dice.shuffle(own)
+            pages.append((str(host), f"<body><i></i>{''.join(own)}<u></u></body>"))
+    templates, found = read_templates(spark, pages)
+    assert len(templates) == 40 and sum(len({r["class"] for r in t["template"]}) > 2 for t in templates.values()) > 20
+    for host, of_pages in found.items():
+        size = Counter(r["class"] for r in templates[host]["template"])
+        assert min(size.values(), default=2) >= 2
+        for places in of_pages:
+            for cls, own in places.items():
+                assert [place for _, place in own] == list(range(size[cls])) * (len(own) // size[cls])
+
+        def gaps(a, b, of_pages=of_pages, size=size):
+            """The gaps of a in which occurrences of b lie (0: outside); None for one that lies in several."""
+            out = set()
+            for places in of_pages:
+                around, own = ([at for at, _ in places.get(cls, [])] for cls in (a, b))
+                for k in range(0, len(own), size[b]):
+                    before = {bisect.bisect(around, at) for at in own[k : k + size[b]]}
+                    out.add(before.pop() % size[a] if len(before) == 1 else None)
+            return out
+
+        for a, b in itertools.combinations(size, 2):
+            both = gaps(a, b), gaps(b, a)
+            assert both == ({0}, {0}) or any(len(x) == 1 and x.isdisjoint({0, None}) for x in both)
+
+
 def test_ids_digest_matches_contract(spark, vocabulary_path):
     from tabloom.llm import queries
 
