@@ -4,10 +4,13 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tabloom.operators import importance, information, select
+from tabloom.operators import boosting, importance, information, select
 from tabloom.operators.correlation import correlation_table, target_correlation
+from tabloom.operators.target import add_class_weight, class_weights
 from tabloom.plans.selection import STEPS, SelectorSettings, fit_selector
 from tabloom.sources.fits import load_fit
 
@@ -156,6 +159,60 @@ def test_trees_read_equal_rows_once(spark, monkeypatch):
     assert written["tree-input"] == 3000 and merged == pytest.approx(plain)
 
 
+def test_trees_are_those_of_spark(spark):
+    """The gains of Spark's own boosted trees, without their jobs over all rows for each level of a tree."""
+    rng = np.random.default_rng(5)
+    data = pd.DataFrame(rng.normal(size=(9000, 5)), columns=list("abcde"))
+    data["e"] = rng.integers(0, 4, 9000)
+    data["flat"] = 1.0
+    data["target"] = (data["a"] + 0.6 * data["b"] * data["c"] + 0.3 * data["e"] + rng.normal(size=9000) > 1).astype(int)
+    columns = [*"abcde", "flat"]
+    df = spark.createDataFrame(data).repartition(5)
+    weights = {r["class"]: r["weight"] for r in class_weights(df).collect()}
+    vectors = VectorAssembler(inputCols=columns, outputCol="x").transform(add_class_weight(df, weights))
+    model = GBTClassifier(featuresCol="x", labelCol="target", weightCol="weight", maxIter=12, stepSize=0.3, maxDepth=3).fit(vectors)
+    got = boosting.split_gains(df, columns, weights, label="target", trees=12, step=0.3, depth=3)
+    assert got == pytest.approx(model.featureImportances.toArray().tolist(), abs=1e-9)
+
+
+def test_tree_importance_is_one_of_all_rows(spark):
+    """The bins are not from a drawn part of the rows, so the way they are dealt out makes no difference; five jobs a tree."""
+    rng = np.random.default_rng(6)
+    data = pd.DataFrame(rng.normal(size=(30_000, 3)), columns=list("abc"))
+    data["target"] = (data["a"] + 0.5 * data["b"] + rng.normal(size=30_000) > 0).astype(int)
+    df = spark.createDataFrame(data)
+    context, found = spark.sparkContext, []
+    for parts in (3, 7):
+        dealt = df.repartition(parts).persist()
+        context.setJobGroup(f"trees-{parts}", "")
+        found.append({r["column"]: r["importance"] for r in importance.tree_importance(dealt, ["a", "b", "c"], trees=20).collect()})
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert 20 * 4 < len(context.statusTracker().getJobIdsForGroup(f"trees-{parts}")) <= 20 * 5 + 25
+    assert found[0] == pytest.approx(found[1], abs=1e-9)
+
+
+def test_bins_of_many_values_come_from_all_rows(spark, monkeypatch):
+    """Ranks of the edges are those of all rows, also where a task keeps few of its values."""
+    monkeypatch.setattr(boosting, "POINTS", 500)
+    n = 40_000
+    df = spark.range(n).select(
+        (F.col("id") * 7919 % n).cast("double").alias("x0"),
+        F.when(F.col("id") % 2 == 0, float("inf")).otherwise(float("-inf")).alias("x1"),
+        F.lit(0.0).alias("y"),
+        F.lit(None).cast("double").alias("copies"),
+    )
+    edges, endless = boosting._fit_edges(df, 2, np.array([2.0, 1.0]), 32)
+    assert len(edges) == 31 and len(endless) == 1
+    assert edges.tolist() == pytest.approx([n / 32 * (i + 1) for i in range(31)], abs=2 * n / 500)
+
+
+def test_columns_without_a_split_have_no_importance(spark):
+    df = spark.createDataFrame([(1.0, None, i % 2) for i in range(50)], "a double, b double, target int")
+    assert {r["column"]: r["importance"] for r in importance.tree_importance(df, ["a", "b"], trees=2).collect()} == {"a": 0.0, "b": 0.0}
+    with pytest.raises(ValueError):
+        importance.tree_importance(df.withColumn("target", F.lit(3)), ["a"], trees=2)
+
+
 def test_funnel(spark, train, tmp_path):
     chosen = fit_selector(train, SelectorSettings(exclude=("id",)), importance_trees=5, run_permutation=False)
     assert chosen.dropped["missing"] == ["holes"]
